@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 
 #: Modules that hold QUERIES and SQL.
-MODULES = ("bpe",)
+MODULES = ("bpe", "packing", "token_counts")
 
 
 def _all(what: str) -> dict:
