@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from .common import documents, keyed
 
 #: Most words that a worker's table holds before it starts anew.
-MEMO = 800_000
+MEMO = 250_000
 #: Longer texts are encoded in parts of about so many characters, cut where a word surely starts.
 PART = 400_000
 #: Bytes of ids after which a batch of results is sent on.
