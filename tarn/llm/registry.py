@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 
 #: Modules that hold QUERIES and SQL.
-MODULES = ("bpe", "packing", "token_counts", "language")
+MODULES = ("secrets", "bpe", "packing", "token_counts", "language")
 
 
 def _all(what: str) -> dict:
