@@ -33,11 +33,19 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/tarn-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, sort_within: str | None = None) -> DataFrame:
-    """df, written as Parquet to the shared folder and read back."""
-    path = shared_dir(df.sparkSession)
-    (df.sortWithinPartitions(sort_within) if sort_within else df).write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def written(df: DataFrame) -> DataFrame:
+    """df, written as Parquet to the shared folder and read back. What its shuffles left on disk goes as soon as it is written."""
+    spark, path = df.sparkSession, shared_dir(df.sparkSession)
+    before = spark.conf.get(_CLEAN, None)
+    spark.conf.set(_CLEAN, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(_CLEAN) if before is None else spark.conf.set(_CLEAN, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def fresh(df: DataFrame) -> DataFrame:
