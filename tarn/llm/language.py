@@ -93,6 +93,18 @@ def classify(df: DataFrame, profiles: list[tuple[str, bytes]], id_col: str = "do
     return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, lang_pred string, score double, rejected boolean")
 
 
+def accepted(df: DataFrame, profiles: list[tuple[str, bytes]], text_col: str = "text") -> DataFrame:
+    """The rows of df, with all their columns, whose text is not rejected."""
+    at = df.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        by = compressors(profiles)
+        for batch in batches:
+            yield batch.filter(pa.array([not answer(t.as_py(), by)[2] for t in batch.column(at)], pa.bool_()))
+
+    return df.mapInArrow(run, df.schema)
+
+
 def held_out(doc_id) -> F.Column:
     """Every fifth row by checksum of its id is kept from learning."""
     return F.coalesce(F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(5)) == 0, F.lit(False))

@@ -1,0 +1,79 @@
+import corpus_pipeline
+from tarn.llm import language, suffixes
+from tarn.llm.common import documents
+
+from . import test_jaccard, test_packing, test_secrets, test_suffixes
+
+D = "/root/testdata/sf0.001"
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def redacted(text):
+    out, at = [], 0
+    for a, _, _, b in test_secrets.brute(text)[1]:
+        if a > at or not out:
+            out += [text[at:a], "[SECRET]"]
+        at = max(at, b)
+    return "".join([*out, text[at:]])
+
+
+def without(text, gone):
+    """The text less the characters whose bytes all go."""
+    out, at = [], 0
+    for c in text:
+        size = len(c.encode())
+        if not all(gone[at : at + size]):
+            out.append(c)
+        at += size
+    return "".join(out)
+
+
+def repeated(rows):
+    seen, out = set(), {}
+    for i, text in sorted(rows):
+        raw = text.encode()
+        gone = [False] * len(raw)
+        for k in range(len(raw) - 99):
+            if raw[k : k + 100] in seen:
+                gone[k : k + 100] = [True] * 100
+            seen.add(raw[k : k + 100])
+        out[i] = without(text, gone)
+    return out
+
+
+def test_stages_match_brute_force(spark):
+    docs = documents(spark, D)
+    by = language.compressors(language.fit(docs.where(~language.held_out("doc_id"))))
+    want = {r.doc_id: r.text for r in docs.collect() if not language.answer(r.text, by)[2]}
+    for k, (name, stage) in enumerate(corpus_pipeline.STAGES[:-1]):
+        docs = stage(spark, docs, D).cache()
+        assert docs.columns == COLUMNS, name
+        if k == 1:
+            group = test_jaccard.brute(list(want.items()))
+            want = {i: t for i, t in want.items() if group[i][1] == i}
+        elif k == 2:
+            want = repeated(want.items())
+        elif k == 3:
+            want = {i: redacted(t) for i, t in want.items()}
+        got = {r.doc_id: r for r in docs.collect()}
+        assert {i: r.text for i, r in got.items()} == want, name
+        if k:
+            assert all(r.n_chars == len(r.text) for r in got.values()) or k == 1
+    pieces = corpus_pipeline.STAGES[-1][1](spark, docs, D).collect()
+    assert {r.doc_id for r in pieces} == set(want)
+    test_packing.checked(pieces, 1024)
+
+
+def test_run_is_the_stages_in_order(spark):
+    got = corpus_pipeline.run(spark, D)
+    assert got.columns[-2:] == ["sequence_id", "offset"] and got.count() > 100
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "jaccard_join", "suffix_dedup", "secret_scan", "best_fit_packing"]
+
+
+def test_odd_tables(spark):
+    rows = [(1, None, None, None, None), (2, "some english words", None, "s", 3), (2, "some english words", "en", "s", 3), (None, "x", "en", None, 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        assert stage(spark, df, D).columns == COLUMNS
+        assert stage(spark, df, D).count() > 0
+        assert stage(spark, df.limit(0), D).collect() == []
