@@ -242,7 +242,7 @@ def components_count(spark, d):
     return rows.groupBy("aoi_id", "month").agg(F.count_distinct("label").alias("n_components"), F.sum(F.col("x1") - F.col("x0") + 1).cast("long").alias("n_pixels"))
 
 
-@query(f"{PATCHES} SELECT aoi_id, month, label, CAST(n_pixels AS BIGINT) AS n_pixels, y0, x0, y1, x1, round(area_m2, 6) AS area_m2, round(perimeter_m, 6) AS perimeter_m, round(major_axis_m, 6) AS major_axis_m FROM prop")
+@query(f"{PATCHES} SELECT aoi_id, month, label, CAST(n_pixels AS BIGINT) AS n_pixels, y0, x0, y1, x1, round(CAST(area_m2 AS DOUBLE), 6) AS area_m2, round(CAST(perimeter_m AS DOUBLE), 6) AS perimeter_m, round(CAST(major_axis_m AS DOUBLE), 6) AS major_axis_m FROM prop")
 def patch_properties(spark, d):
     return patches.properties(patches.patches(product(spark, d))).select("aoi_id", "month", "label", "n_pixels", "y0", "x0", "y1", "x1", r6("area_m2"), r6("perimeter_m"), r6("major_axis_m"))
 
@@ -515,7 +515,7 @@ def grid_windows(spark, d):
 
 
 @query(f"""WITH {NETWORK}, k AS (SELECT hydro_id, length_m, unnest(range(0, CAST(greatest(ceil(length_m / 150), 1) AS BIGINT))) AS k FROM reaches)
-SELECT format('reach-{{}}-{{:04d}}', hydro_id, k + 1) AS window_id, hydro_id, k * 150.0 AS start_m, least((k + 1) * 150.0, length_m) AS stop_m FROM k""")
+SELECT format('reach-{{}}-{{:04d}}', hydro_id, k + 1) AS window_id, hydro_id, CAST(k * 150.0 AS DOUBLE) AS start_m, CAST(least((k + 1) * 150.0, length_m) AS DOUBLE) AS stop_m FROM k""")
 def channel_windows(spark, d):
     return spatial.channel_windows(reaches(spark, d), 150)
 
