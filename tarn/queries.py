@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from .functions import month_start
 from .operators import clustering, composite, connectivity, dynamics, extent, legacy, patches, persistence, spatial
+from .plans import results
+from .plans.metrics import METRICS as METRIC_SPECS
 from .sources import cubes
 
 CELL_M2, THRESHOLD_M = 900.0, 10.0
@@ -563,3 +565,18 @@ def fill_limited(spark, d):
     return cubes.fill_recent(p.select("aoi_id", "y", "x", F.col("month").alias("ts"), F.when(F.col("valid"), F.col("water").cast("int")).alias("value")), "value")
 
 
+
+
+# Results ------------------------------------------------------------------------------------------------------------
+
+TIDY = ("number_of_pools", "lpi", "awmsi", "awre", "mesh")
+
+
+@query(
+    f"{PATCHES}, {METRICS}, " + "t AS ("
+    + " UNION ALL ".join(f"SELECT aoi_id, month AS date, '{m}' AS metric, '{METRIC_SPECS[m].family}' AS metric_family, '{METRIC_SPECS[m].unit}' AS unit, CAST({m} AS DOUBLE) AS value, edge_flag FROM pm" for m in TIDY)
+    + ") SELECT aoi_id, date, metric, metric_family, unit, round(value, 6) AS value, edge_flag FROM t"
+)
+def tidy_metrics_table(spark, d):
+    wide = _patch_metrics(spark, d).withColumnRenamed("month", "date")
+    return results.long_rows(wide, list(TIDY), "run", "config").select("aoi_id", "date", "metric", "metric_family", "unit", r6("value"), "edge_flag")
