@@ -2,8 +2,10 @@
 
 For each language a bounded sample of labelled texts becomes a raw-content dictionary of zstandard. A text is compressed
 with each of them, in blocks, and the language whose dictionary gives the fewest bytes is the answer; the score is the
-share by which it beats the next one. A text is rejected if it has no letter, or if it is long enough to tell languages
-apart and yet the margin is narrow.
+share by which it beats the next one, the gain that by which it beats no dictionary. A text is rejected if it has no
+letter, or if its score or its gain is below a bound that depends on its length. The bounds come from labelled texts that
+are in no dictionary, cut to each length; below the least of these lengths texts can't be told apart and are kept. Where
+too few labelled texts are left for that, only long texts with a narrow margin are rejected.
 
 Defined results: null text, or text without letters, is `und` with score 0 and rejected; ties go to the language with
 more labelled texts, then to the smaller name; with one learned language the score is 1, with none every text is `und`;
@@ -27,8 +29,12 @@ from .common import documents
 #: Bounds of the sample: languages, texts of each, bytes taken from each text, bytes of a dictionary.
 LANGUAGES, TEXTS, TEXT_BYTES, DICTIONARY = 64, 400, 1500, 65536
 LEVEL, BLOCK = 6, 4096
-#: Texts of so many bytes whose best two languages differ by a smaller share are rejected.
+#: Without bounds: texts of so many bytes whose best two languages differ by a smaller share are rejected.
 NARROW, LONG = 0.001, 200
+#: Lengths with a bound; of every so many texts one is kept from the dictionaries; texts used for bounds, at most in all and at least for a length.
+LENGTHS, EVERY, BOUND_TEXTS, LEAST = (32, 64, 128, 256, 512, 1024), 5, 1000, 15
+#: The bound is this share of this low quantile of the smaller one of score and gain.
+SHARE, QUANTILE = 0.5, 0.02
 
 _LETTER = re.compile(r"[^\W\d_]")
 _OTHER = re.compile(r"[\W\d_]+")
@@ -39,47 +45,80 @@ def normal(text: str) -> bytes:
     return _OTHER.sub(" ", text.lower()).encode("utf-8", "replace")
 
 
-def fit(df: DataFrame, text_col: str = "text", lang_col: str = "lang") -> list[tuple[str, bytes]]:
-    """(language, dictionary), the language with most rows first. Reads all labelled rows, and of each language keeps the TEXTS texts of smallest hash, a bounded sample that doesn't depend on the order of rows."""
+class Profiles(list):
+    """(language, dictionary) or (language, compressor) pairs, and (length, bound) in order of length."""
+
+    bounds: tuple[tuple[int, float], ...] = ()
+
+
+def fit(df: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Profiles:
+    """(language, dictionary), the language with most rows first. Reads all labelled rows, and of each language keeps the TEXTS texts of smallest hash and a few for the bounds, a bounded sample that doesn't depend on the order of rows."""
     rows = df.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where("text is not null and lang is not null")
     rows = rows.select("lang", F.xxhash64("text").alias("h"), "text")
     counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
     if not counts:
-        return []
+        return Profiles()
     # hashes are even, so this threshold leaves about four times TEXTS rows of each language before any row is moved
     most = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(2**63 - 1, int(-(2**63) + 2**64 * min(1.0, 4 * TEXTS / r["count"]))))])
     few = rows.where(F.col("h") <= most[F.col("lang")]).select("lang", "h", F.substring("text", 1, TEXT_BYTES).alias("text"))
     first = F.row_number().over(W.partitionBy("lang").orderBy("h", "text"))
     sample: dict[str, list[bytes]] = {r["lang"]: [] for r in counts}
-    for r in few.withColumn("k", first).where(F.col("k") <= TEXTS).orderBy("lang", "k").collect():
-        sample[r["lang"]].append(normal(r["text"])[:TEXT_BYTES])
+    apart: dict[str, list[bytes]] = {r["lang"]: [] for r in counts}
+    for r in few.withColumn("k", first).where(F.col("k") <= TEXTS * EVERY // (EVERY - 1)).orderBy("lang", "k").collect():
+        (sample if r["k"] % EVERY else apart)[r["lang"]].append(normal(r["text"])[:TEXT_BYTES])
     joined = {lang: b"\n".join(texts) for lang, texts in sample.items()}
     size = min(DICTIONARY, max(1024, min(map(len, joined.values()))))  # equal sizes, else the largest would win
-    return [(lang, raw[:size]) for lang, raw in joined.items() if raw]
+    out = Profiles((lang, raw[:size]) for lang, raw in joined.items() if raw)
+    known = {raw for texts in sample.values() for raw in texts}
+    out.bounds = bounds(out, [raw for texts in apart.values() for raw in texts[: max(LEAST, BOUND_TEXTS // len(apart))] if raw not in known])
+    return out
+
+
+def bounds(profiles: list[tuple[str, bytes]], texts: list[bytes]) -> tuple[tuple[int, float], ...]:
+    """(length, bound) from labelled texts, as normal() gives them, that are in no dictionary."""
+    by, out = compressors(profiles), []
+    for length in LENGTHS:
+        low = sorted(min(measured(raw[:length], by)[1:]) for raw in texts if len(raw) >= length)
+        if len(low) >= LEAST:
+            out.append((length, SHARE * low[int(QUANTILE * len(low))]))
+    return tuple(out)
 
 
-def compressors(profiles: list[tuple[str, bytes]]) -> list[tuple[str, zstandard.ZstdCompressor]]:
-    out = []
+def compressors(profiles: list[tuple[str, bytes]]) -> Profiles:
+    """(language, compressor) of each dictionary, the last one without any, for None."""
+    out = Profiles()
+    out.bounds = getattr(profiles, "bounds", ())
     for lang, raw in profiles:
         params = zstandard.ZstdCompressionParameters.from_level(LEVEL, source_size=BLOCK, dict_size=len(raw), write_content_size=False, write_checksum=False, write_dict_id=False)
         kept = zstandard.ZstdCompressionDict(raw, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
         kept.precompute_compress(compression_params=params)
         out.append((lang, zstandard.ZstdCompressor(dict_data=kept, compression_params=params)))
+    plain = zstandard.ZstdCompressionParameters.from_level(LEVEL, source_size=BLOCK, write_content_size=False, write_checksum=False, write_dict_id=False)
+    out.append((None, zstandard.ZstdCompressor(compression_params=plain)))
     return out
 
 
-def answer(text: str | None, by: list[tuple[str, zstandard.ZstdCompressor]]) -> tuple[str, float, bool]:
+def measured(raw: bytes, by: Profiles) -> tuple[int, float, float]:
+    """(place of the language in by, score, gain) of a text as normal() gives it."""
+    *sizes, plain = [sum(len(c.compress(raw[k : k + BLOCK])) for k in range(0, len(raw), BLOCK)) for _, c in by]
+    best = min(range(len(sizes)), key=sizes.__getitem__)
+    rest = [s for k, s in enumerate(sizes) if k != best]
+    return best, 1 - sizes[best] / min(rest) if rest else 1.0, 1 - sizes[best] / plain
+
+
+def answer(text: str | None, by: Profiles) -> tuple[str, float, bool]:
     """(language, score, rejected) of a whole text."""
-    if not text or not by or not _LETTER.search(text):
+    if not text or len(by) < 2 or not _LETTER.search(text):
         return "und", 0.0, True
     raw = normal(text)
-    sizes = [sum(len(c.compress(raw[k : k + BLOCK])) for k in range(0, len(raw), BLOCK)) for _, c in by]
-    best = min(range(len(by)), key=sizes.__getitem__)
-    rest = [s for k, s in enumerate(sizes) if k != best]
-    score = 1 - sizes[best] / min(rest) if rest else 1.0
+    best, score, gain = measured(raw, by)
+    if by.bounds:
+        bound = next((b for length, b in reversed(by.bounds) if length <= len(raw)), None)
+        return by[best][0], score, bound is not None and min(score, gain) < bound
     return by[best][0], score, len(raw) >= LONG and score < NARROW
 
 
+
 def classify(df: DataFrame, profiles: list[tuple[str, bytes]], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, lang_pred, score, rejected for every row."""
     rows = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))

@@ -1,3 +1,4 @@
+import random
 import zlib
 
 from tarn.llm import language
@@ -36,3 +37,23 @@ def test_narrow_margins_are_rejected():
     by = language.compressors([("a", b"same words here and there"), ("b", b"same words here and there")])
     assert language.answer("quite other text " * 40, by) == ("a", 0.0, True)
     assert language.answer("short", by) == ("a", 0.0, False)
+
+
+ITALIAN = "Nel mezzo del cammin di nostra vita mi ritrovai per una selva oscura che la diritta via era smarrita. Il governo italiano ha approvato ieri una nuova legge sulla scuola pubblica che riguarda tutti gli studenti delle superiori."
+POLISH = "W czasie wakacji dzieci lubią bawić się nad jeziorem, gdzie woda jest ciepła i czysta. Rząd polski przyjął wczoraj nową ustawę o szkołach, która wejdzie w życie w przyszłym roku i dotyczy wszystkich uczniów."
+
+
+def gibberish(r, n):
+    return " ".join("".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(r.randint(2, 9))) for _ in range(n))
+
+
+def test_gibberish_and_unlearned_languages_are_rejected_and_clean_short_texts_kept(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    by = language.compressors(language.fit(docs.where(~language.held_out("doc_id"))))
+    r = random.Random(5)
+    bad = [gibberish(r, n) for n in (25, 50, 200) for _ in range(50)] + [ITALIAN, POLISH, ITALIAN * 4, POLISH * 4, ITALIAN[:120], POLISH[:120]]
+    kept = [t for t in bad if not language.answer(t, by)[2]]
+    assert len(kept) <= 0.02 * len(bad), kept
+    clean = [x.text for x in docs.where(language.held_out("doc_id")).where("lang is not null and text rlike '[a-z]'").limit(500).collect()]
+    for size in (15, 60, 200, 10**6):
+        assert sum(language.answer(t[:size], by)[2] for t in clean) < 0.02 * len(clean), size
