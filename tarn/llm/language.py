@@ -1,7 +1,9 @@
 """Language identification by compression (operator 8).
 
-For each language a bounded sample of labelled texts becomes a raw-content dictionary of zstandard. A text is compressed
-with each of them, in blocks, and the language whose dictionary gives the fewest bytes is the answer; the score is the
+For each language a bounded sample of distinct labelled texts becomes a raw-content dictionary of zstandard, however small
+other languages' are. A text is compressed with each of them, in blocks, and the language whose dictionary gives the
+fewest bytes is the answer. Larger dictionaries also shorten texts of other languages, so bytes are divided by the share
+that the dictionary leaves of such texts, at the text's length, unless all dictionaries have one size; the score is the
 share by which it beats the next one, the gain that by which it beats no dictionary. A text is rejected if it has no
 letter, or if its score or its gain is below a bound that depends on its length. The bounds come from labelled texts that
 are in no dictionary, cut to each length; below the least of these lengths texts can't be told apart and are kept. Where
@@ -17,6 +19,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from statistics import median
 
 import pyarrow as pa
 import zstandard
@@ -26,8 +29,9 @@ from pyspark.sql import functions as F
 
 from .common import documents
 
-#: Bounds of the sample: languages, texts of each, bytes taken from each text, bytes of a dictionary.
-LANGUAGES, TEXTS, TEXT_BYTES, DICTIONARY = 64, 400, 1500, 65536
+#: Bounds of the sample: texts of a language, bytes taken from each text, bytes of a dictionary. Beyond so many languages all three of them share what that many have.
+TEXTS, TEXT_BYTES, DICTIONARY = 400, 1500, 65536
+LANGUAGES = 64
 LEVEL, BLOCK = 6, 4096
 #: Without bounds: texts of so many bytes whose best two languages differ by a smaller share are rejected.
 NARROW, LONG = 0.001, 200
@@ -46,34 +50,61 @@ def normal(text: str) -> bytes:
 
 
 class Profiles(list):
-    """(language, dictionary) or (language, compressor) pairs, and (length, bound) in order of length."""
+    """(language, dictionary) or (language, compressor) pairs; (length, bound) and (length, what each dictionary leaves of other languages' texts) in order of length."""
 
     bounds: tuple[tuple[int, float], ...] = ()
+    left: tuple[tuple[int, tuple[float, ...]], ...] = ()
 
 
 def fit(df: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Profiles:
     """(language, dictionary), the language with most rows first. Reads all labelled rows, and of each language keeps the TEXTS texts of smallest hash and a few for the bounds, a bounded sample that doesn't depend on the order of rows."""
     rows = df.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where("text is not null and lang is not null")
     rows = rows.select("lang", F.xxhash64("text").alias("h"), "text")
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
+    counts = rows.groupBy("lang").agg(F.count("*").alias("count"), F.approx_count_distinct("h").alias("texts")).orderBy(F.desc("count"), "lang").collect()
     if not counts:
         return Profiles()
-    # hashes are even, so this threshold leaves about four times TEXTS rows of each language before any row is moved
-    most = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(2**63 - 1, int(-(2**63) + 2**64 * min(1.0, 4 * TEXTS / r["count"]))))])
+    part = min(1.0, LANGUAGES / len(counts))
+    texts, size = max(EVERY, int(TEXTS * part)), max(1024, int(DICTIONARY * part))
+    # hashes are even, so this threshold leaves about four times as many distinct texts of each language before any row is moved
+    most = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(2**63 - 1, int(-(2**63) + 2**64 * min(1.0, 4 * texts / r["texts"]))))])
     few = rows.where(F.col("h") <= most[F.col("lang")]).select("lang", "h", F.substring("text", 1, TEXT_BYTES).alias("text"))
+    few = few.groupBy("lang", "h").agg(F.min("text").alias("text"))  # copies are one text
     first = F.row_number().over(W.partitionBy("lang").orderBy("h", "text"))
     sample: dict[str, list[bytes]] = {r["lang"]: [] for r in counts}
     apart: dict[str, list[bytes]] = {r["lang"]: [] for r in counts}
-    for r in few.withColumn("k", first).where(F.col("k") <= TEXTS * EVERY // (EVERY - 1)).orderBy("lang", "k").collect():
+    for r in few.withColumn("k", first).where(F.col("k") <= texts * EVERY // (EVERY - 1)).orderBy("lang", "k").collect():
         (sample if r["k"] % EVERY else apart)[r["lang"]].append(normal(r["text"])[:TEXT_BYTES])
     joined = {lang: b"\n".join(texts) for lang, texts in sample.items()}
-    size = min(DICTIONARY, max(1024, min(map(len, joined.values()))))  # equal sizes, else the largest would win
     out = Profiles((lang, raw[:size]) for lang, raw in joined.items() if raw)
+    out.left = left(out, sample)
     known = {raw for texts in sample.values() for raw in texts}
     out.bounds = bounds(out, [raw for texts in apart.values() for raw in texts[: max(LEAST, BOUND_TEXTS // len(apart))] if raw not in known])
     return out
 
 
+def left(profiles: list[tuple[str, bytes]], sample: dict[str, list[bytes]]) -> tuple[tuple[int, tuple[float, ...]], ...]:
+    """(length, shares): what each dictionary leaves, in the median, of the bytes of other languages' texts; nothing if no dictionary is larger than another."""
+    if len({len(raw) for _, raw in profiles}) < 2:
+        return ()
+    by, out = compressors(profiles), []
+    (_, plain), each = by[-1], max(3, BOUND_TEXTS // len(profiles))
+    for length in LENGTHS:
+        shares: dict[str, list[float]] = {lang: [] for lang, _ in profiles}
+        for own, texts in sample.items():
+            for raw in [raw[:length] for raw in texts if len(raw) >= length][:each]:
+                whole = len(plain.compress(raw))
+                for lang, c in by[:-1]:
+                    if lang != own:
+                        shares[lang].append(len(c.compress(raw)) / whole)
+        out.append((length, tuple(median(x) if x else 1.0 for x in shares.values())))
+    return tuple(out)
+
+
+def at_length(table: tuple, n: int):
+    """What a table by length has for n bytes: the entry of the greatest length up to n, or None."""
+    return next((x for length, x in reversed(table) if length <= n), None)
+
+
 def bounds(profiles: list[tuple[str, bytes]], texts: list[bytes]) -> tuple[tuple[int, float], ...]:
     """(length, bound) from labelled texts, as normal() gives them, that are in no dictionary."""
     by, out = compressors(profiles), []
@@ -87,7 +118,7 @@ def bounds(profiles: list[tuple[str, bytes]], texts: list[bytes]) -> tuple[tuple
 def compressors(profiles: list[tuple[str, bytes]]) -> Profiles:
     """(language, compressor) of each dictionary, the last one without any, for None."""
     out = Profiles()
-    out.bounds = getattr(profiles, "bounds", ())
+    out.bounds, out.left = getattr(profiles, "bounds", ()), getattr(profiles, "left", ())
     for lang, raw in profiles:
         params = zstandard.ZstdCompressionParameters.from_level(LEVEL, source_size=BLOCK, dict_size=len(raw), write_content_size=False, write_checksum=False, write_dict_id=False)
         kept = zstandard.ZstdCompressionDict(raw, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
@@ -101,6 +132,8 @@ def compressors(profiles: list[tuple[str, bytes]]) -> Profiles:
 def measured(raw: bytes, by: Profiles) -> tuple[int, float, float]:
     """(place of the language in by, score, gain) of a text as normal() gives it."""
     *sizes, plain = [sum(len(c.compress(raw[k : k + BLOCK])) for k in range(0, len(raw), BLOCK)) for _, c in by]
+    if (shares := at_length(by.left, len(raw))) is not None:
+        sizes = [s / x for s, x in zip(sizes, shares, strict=True)]
     best = min(range(len(sizes)), key=sizes.__getitem__)
     rest = [s for k, s in enumerate(sizes) if k != best]
     return best, 1 - sizes[best] / min(rest) if rest else 1.0, 1 - sizes[best] / plain
@@ -113,7 +146,7 @@ def answer(text: str | None, by: Profiles) -> tuple[str, float, bool]:
     raw = normal(text)
     best, score, gain = measured(raw, by)
     if by.bounds:
-        bound = next((b for length, b in reversed(by.bounds) if length <= len(raw)), None)
+        bound = at_length(by.bounds, len(raw))
         return by[best][0], score, bound is not None and min(score, gain) < bound
     return by[best][0], score, len(raw) >= LONG and score < NARROW
 

@@ -1,6 +1,8 @@
 import random
 import zlib
 
+from pyspark.sql import functions as F
+
 from tarn.llm import language
 
 
@@ -57,3 +59,27 @@ def test_gibberish_and_unlearned_languages_are_rejected_and_clean_short_texts_ke
     clean = [x.text for x in docs.where(language.held_out("doc_id")).where("lang is not null and text rlike '[a-z]'").limit(500).collect()]
     for size in (15, 60, 200, 10**6):
         assert sum(language.answer(t[:size], by)[2] for t in clean) < 0.02 * len(clean), size
+
+
+def test_a_rare_or_mistaken_label_leaves_the_other_languages_as_they_are(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").where("lang is not null and text is not null")
+    known, held = docs.where(~language.held_out("doc_id")), docs.where(language.held_out("doc_id")).limit(800).collect()
+    copies = known.where("lang = 'fr'").orderBy("doc_id").limit(1).crossJoin(spark.range(20000)).select(docs.columns)
+    rare = known.where("lang <> 'es'").unionByName(known.where("lang = 'es' and length(text) > 1000").orderBy("doc_id").limit(8))
+    odd = known.limit(1).select(F.lit(-1).cast("long").alias("doc_id"), F.lit("un mot seul").alias("text"), F.lit("xx").alias("lang"), "source", "n_chars")
+    for extra, least in ((known.unionByName(odd), 0.985), (known.unionByName(copies), 0.985), (rare.unionByName(odd), 0.96)):
+        profiles = language.fit(extra)
+        sizes = {lang: len(raw) for lang, raw in profiles}
+        assert sizes["en"] == sizes["fr"] == sizes["de"] == language.DICTIONARY
+        by = language.compressors(profiles)
+        got = [(r.lang, *language.answer(r.text, by)) for r in held]
+        for lang in ("en", "fr", "de", "es"):
+            right = [g[1] == lang for g in got if g[0] == lang]
+            assert sum(right) >= least * len(right) - 1, (lang, sum(right), len(right))
+        assert sum(g[3] for g in got) <= 0.02 * len(got)
+
+
+def test_every_language_with_text_can_be_answered(spark):
+    rows = [(k * 10 + j, " ".join(chr(97 + (k * 7 + j + x * (k % 11 + 1)) % 26) * 3 + chr(0x4E00 + k) for x in range(60)), f"l{k}") for k in range(80) for j in range(2)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert len(language.fit(df)) == 80
