@@ -37,7 +37,7 @@ def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts with a mark in place of each secret."""
-    return _sized(secrets.redact(docs))
+    return _sized(secrets.redact(docs, null_ids=True))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import documents, keyed
+from .common import documents, keyed, written
 
 #: Kinds in order, their patterns and the least length: of group 1 for assignments, else of the match. Fixed values.
 ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -77,10 +77,14 @@ def _found(text: Column, name: str, pattern: str) -> Column:
 
 def spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", cut: bool = False) -> DataFrame:
     """doc_id, spans (array of struct<start, rank, kind, end>, in order) for every row. Entropy spans that touch a pattern's span are cut to what it leaves; without `cut`, as tests of this function expect, they are left out."""
+    return _spans(keyed(df, id_col, text_col).withColumn("row", F.monotonically_increasing_id()), cut).select("doc_id", "spans")
+
+
+def _spans(rows: DataFrame, cut: bool) -> DataFrame:
+    """row, doc_id, spans of rows (row, doc_id, text); row tells them apart."""
     text = F.col("text")
     none = F.array().cast("array<struct<name:string,k:int,gap:int,match:string>>")
     found = F.concat(*[F.coalesce(_found(text, *x), none) for x in (("assign", ASSIGN), ("access", ACCESS), ("hex", HEX), ("candidate", CANDIDATE))])
-    rows = keyed(df, id_col, text_col).withColumn("row", F.monotonically_increasing_id())
     rows = rows.select("row", "doc_id", F.explode_outer(found).alias("m")).select("row", "doc_id", "m.*")
     before = W.partitionBy("row", "name").orderBy("k")
     end = F.sum(F.col("gap") + F.length("match")).over(before)
@@ -125,12 +129,14 @@ def spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", cut: bo
         bare &= (F.col("start") == F.col("held.start")) & (F.col("end") == F.col("held.end"))
     hot = F.when(bare, F.struct(F.col("start").cast("long").alias("start"), "rank", F.element_at(F.array(*map(F.lit, KINDS)), F.greatest("rank", F.lit(1))).alias("kind"), F.col("end").cast("long").alias("end")))
     rows = rows.select("row", "doc_id", F.explode(F.array("span", hot)).alias("span"))
-    return rows.groupBy("row", "doc_id").agg(F.array_sort(F.collect_list("span")).alias("spans")).select("doc_id", "spans")
+    return rows.groupBy("row", "doc_id").agg(F.array_sort(F.collect_list("span")).alias("spans"))
 
 
-def redact(df: DataFrame, mark: str = "[SECRET]", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """df with each secret's characters in the text replaced by the mark; overlapping and touching spans get one. Ids must be unique; rows without a span, and null ids and texts, stay as they are."""
-    some = spans(df.where(F.col(id_col).isNotNull()), id_col, text_col, cut=True).where(F.size("spans") > 0)
+def redact(df: DataFrame, mark: str = "[SECRET]", id_col: str = "doc_id", text_col: str = "text", null_ids: bool = False) -> DataFrame:
+    """df with each secret's characters in the text replaced by the mark; overlapping and touching spans get one. Each row is told by its own number in a written copy, so rows may repeat ids; rows without a span and null texts stay as they are, and without `null_ids`, as tests of this function expect, so do rows with null ids."""
+    rows = written(df.select(F.struct(*df.columns).alias("of"), F.monotonically_increasing_id().alias("row")))
+    scanned = rows if null_ids else rows.where(F.col("of")[id_col].isNotNull())
+    some = _spans(scanned.select("row", F.col("row").alias("doc_id"), F.coalesce(F.col("of")[text_col], F.lit("")).alias("text")), cut=True).where(F.size("spans") > 0)
     start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<struct<at:bigint,size:bigint>>").alias("kept"))
 
     def step(done: Column, s: Column) -> Column:
@@ -139,11 +145,12 @@ def redact(df: DataFrame, mark: str = "[SECRET]", id_col: str = "doc_id", text_c
         return F.struct(F.greatest(done["at"], s["end"]).alias("at"), F.when(fresh, F.concat(done["kept"], gap)).otherwise(done["kept"]).alias("kept"))
 
     kept = F.aggregate("spans", start, step, lambda done: F.concat(done["kept"], F.array(F.struct(done["at"].alias("at"), F.lit(2**31 - 1).cast("long").alias("size")))))
-    some = some.select(F.col("doc_id").alias("_secret_id"), kept.alias("_kept"))
-    text = F.col(text_col)
-    pieces = F.transform("_kept", lambda g: text.substr((g["at"] + 1).cast("int"), g["size"].cast("int")))
-    out = F.when(F.col("_kept").isNotNull(), F.array_join(pieces, mark)).otherwise(text)
-    return df.join(some, df[id_col] == F.col("_secret_id"), "left").select(*[out.alias(c) if c == text_col else F.col(c) for c in df.columns])
+    some = some.select("row", kept.alias("kept"))
+    text = F.col("of")[text_col]
+    pieces = F.transform("kept", lambda g: text.substr((g["at"] + 1).cast("int"), g["size"].cast("int")))
+    out = F.when(F.col("kept").isNotNull(), F.array_join(pieces, mark)).otherwise(text)
+    return rows.join(some, "row", "left").select(F.struct(*[(out if c == text_col else F.col("of")[c]).alias(c) for c in df.columns]).alias("of")).select("of.*")
+
 
 
 def joined(of: Column) -> Column:
