@@ -10,11 +10,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import ratio
+from ..session import written
 from .components import components
 
-#: Reaches on a path, at most; what runs on is a cycle.
-DEPTH = 1000
-
 
 def fixed_graph(reaches: DataFrame, node_month: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(nodes, edges): reaches that are ever wet, and (a, b) where b starts at a's end and follows it in topology order."""
@@ -53,8 +51,21 @@ def coherence(node_month: DataFrame) -> DataFrame:
     return node_month.groupBy("node").agg(F.count_if("valid").alias("valid_months"), (ratio(F.count_if(F.col("active") & F.col("valid")), F.count_if("valid")) * 100).alias("tcf"))
 
 
+def jumps(reaches: DataFrame) -> list[DataFrame]:
+    """Tables (node, far) of the reach that lies 1, 2, 4, ... steps downstream, where there is one. The last one goes further than there are reaches, so what it has leads into a cycle, and its `far` are the reaches on one. Of a repeated id the smallest next reach counts."""
+    n = reaches.count()
+    known = reaches.select(F.col("hydro_id").alias("far")).distinct()
+    step = reaches.groupBy(F.col("hydro_id").alias("node")).agg(F.min("next_down_id").alias("far"))
+    out, size = [written(step.join(known, "far", "left_semi").select("node", "far"))], 1
+    while size <= n and not out[-1].isEmpty():
+        again = out[-1].select(F.col("node").alias("mid"), F.col("far").alias("further"))
+        out.append(written(out[-1].join(again, F.col("far") == F.col("mid")).select("node", F.col("further").alias("far"))))
+        size *= 2
+    return out
+
+
 def validate_topology(reaches: DataFrame) -> DataFrame:
-    """check, n: violations of the network's contract."""
+    """check, n: violations of the network's contract; `cycle` counts the reaches that lie on one."""
     other = reaches.select(F.col("hydro_id").alias("down"), F.col("from_node").alias("down_from"))
     joined = reaches.where("next_down_id <> -1").join(other, F.col("next_down_id") == F.col("down"), "left")
     found = [
@@ -62,6 +73,7 @@ def validate_topology(reaches: DataFrame) -> DataFrame:
         reaches.groupBy("hydro_id").count().agg(F.lit("repeated_id").alias("check"), F.count_if(F.expr("count > 1")).alias("n")),
         joined.agg(F.lit("unknown_next").alias("check"), F.count_if(F.expr("down is null")).alias("n")),
         joined.agg(F.lit("broken_link").alias("check"), F.count_if(F.expr("down is not null and down_from <> to_node")).alias("n")),
+        jumps(reaches)[-1].agg(F.lit("cycle").alias("check"), F.count_distinct("far").alias("n")),
         reaches.agg(F.lit("terminals").alias("check"), F.count_if(F.expr("next_down_id = -1")).alias("n")),
     ]
     out = found[0]
@@ -70,17 +82,14 @@ def validate_topology(reaches: DataFrame) -> DataFrame:
     return out
 
 
-def reach_paths(reaches: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """head, path (array of ids from each headwater to its outlet). A path that goes on after `depth` reaches is a cycle and left out."""
-    step = reaches.select("hydro_id", "next_down_id")
-    heads = step.join(step.select(F.col("next_down_id").alias("hydro_id")).distinct(), "hydro_id", "left_anti")
-    spark = reaches.sparkSession
-    step.createOrReplaceTempView("tarn_steps")
-    heads.createOrReplaceTempView("tarn_heads")
-    return spark.sql(
-        f"""WITH RECURSIVE walk MAX RECURSION LEVEL {depth + 2} AS (
-              SELECT hydro_id AS head, array(hydro_id) AS path, next_down_id AS next FROM tarn_heads
-              UNION ALL
-              SELECT w.head, array_append(w.path, s.hydro_id), s.next_down_id FROM walk w JOIN tarn_steps s ON w.next = s.hydro_id WHERE size(w.path) < {depth})
-            SELECT head, path FROM walk WHERE next = -1"""
-    )
+def reach_paths(reaches: DataFrame) -> DataFrame:
+    """head, path (array of ids from each headwater to the last reach that is in the table). Paths into a cycle are left out."""
+    *steps, endless = jumps(reaches)
+    heads = reaches.select(F.col("hydro_id").alias("head")).distinct()
+    heads = heads.join(reaches.select(F.col("next_down_id").alias("head")).distinct(), "head", "left_anti").join(endless.select(F.col("node").alias("head")), "head", "left_anti")
+    paths, size = written(heads.select("head", F.col("head").alias("node"), F.lit(0).cast("long").alias("at"))), 1
+    for jump in steps:
+        longer = paths.join(jump, "node").select("head", F.col("far").alias("node"), (F.col("at") + size).alias("at"))
+        paths, size = written(paths.unionByName(longer)), size * 2
+    nodes = F.array_sort(F.collect_list(F.struct("at", "node")))
+    return paths.groupBy("head").agg(F.transform(nodes, lambda x: x["node"]).alias("path"))

@@ -472,7 +472,13 @@ SELECT 'null_key' AS "check", CAST(0 AS BIGINT) AS n UNION ALL SELECT 'repeated_
 UNION ALL SELECT 'unknown_next', CAST(count(*) FILTER (WHERE down IS NULL) AS BIGINT) FROM j UNION ALL SELECT 'broken_link', CAST(count(*) FILTER (WHERE down IS NOT NULL AND down_from <> to_node) AS BIGINT) FROM j
 UNION ALL SELECT 'terminals', CAST(count(*) FILTER (WHERE next_down_id = -1) AS BIGINT) FROM reaches""")
 def topology_validation(spark, d):
-    return connectivity.validate_topology(reaches(spark, d))
+    return connectivity.validate_topology(reaches(spark, d)).where("check <> 'cycle'")  # the SQL's checks; topology_cycles has the other one
+
+
+@query(f"""WITH RECURSIVE {NETWORK}, far AS (SELECT hydro_id, next_down_id FROM reaches UNION SELECT f.hydro_id, r.next_down_id FROM far f JOIN reaches r ON f.next_down_id = r.hydro_id)
+SELECT 'cycle' AS "check", CAST(count(DISTINCT hydro_id) AS BIGINT) AS n FROM far WHERE hydro_id = next_down_id""")
+def topology_cycles(spark, d):
+    return connectivity.validate_topology(reaches(spark, d)).where("check = 'cycle'")
 
 
 @query(f"""WITH RECURSIVE {NETWORK}, walk AS (SELECT hydro_id AS head, CAST(hydro_id AS VARCHAR) AS path, next_down_id AS nxt FROM reaches WHERE hydro_id NOT IN (SELECT next_down_id FROM reaches)
