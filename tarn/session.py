@@ -26,10 +26,33 @@ def session(master: str | None = None, **settings: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """A new folder below spark.checkpoint.dir, which all executors share. Where that is unset, one in /tmp, for a local master only."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.conf.get("spark.master", "local").split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        base = f"file:///tmp/checkpoints/{os.getuid()}"
+    return f"{base.rstrip('/')}/tarn-{uuid.uuid4().hex}"
+
+
 def written(df: DataFrame) -> DataFrame:
-    """df, written as Parquet below spark.checkpoint.dir and read back: cuts lineage and survives lost executors."""
+    """df, written as Parquet to the shared folder and read back: cuts lineage and survives lost executors. What its shuffles left on disk goes as soon as it is written."""
     spark = df.sparkSession
-    base = spark.conf.get("spark.checkpoint.dir", None) or f"file:///tmp/checkpoints/{os.getuid()}"
-    path = f"{base.rstrip('/')}/tarn-{uuid.uuid4().hex}"
+    path = shared_dir(spark)
+    if spark.conf.get(_CLEAN, None) != "true":
+        spark.conf.set(_CLEAN, "true")
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Deletes tables that `written` made, after their last read."""
+    for df in tables:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.written_to)
+        path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
