@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import os
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import dropped, shared_dir, written
+
+__all__ = ["WHITE", "documents", "dropped", "fresh", "keyed", "shared_dir", "written"]
+
 #: White space of all word-based operators: space and U+0009 to U+000D. Fixed values.
 WHITE = r"[\x20\x09-\x0D]"
 
@@ -22,32 +23,6 @@ def keyed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return df.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """A new folder below spark.checkpoint.dir, which all executors share; where that is unset (tests), one in /tmp.
-
-    Tables written there cut lineage and survive lost executors.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = f"file:///tmp/checkpoints/{os.getuid()}"
-    return f"{base.rstrip('/')}/tarn-{uuid.uuid4().hex}"
-
-
-_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-
-
-def written(df: DataFrame) -> DataFrame:
-    """df, written as Parquet to the shared folder and read back. What its shuffles left on disk goes as soon as it is written."""
-    spark, path = df.sparkSession, shared_dir(df.sparkSession)
-    before = spark.conf.get(_CLEAN, None)
-    spark.conf.set(_CLEAN, "true")
-    try:
-        df.write.parquet(path)
-    finally:
-        spark.conf.unset(_CLEAN) if before is None else spark.conf.set(_CLEAN, before)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def fresh(df: DataFrame) -> DataFrame:
     """df with new column identities, so that it can be joined with itself."""
     return df.select(*[F.col(c).alias(c) for c in df.columns])

@@ -77,3 +77,34 @@ def test_query(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{d}/documents.parquet").collect()]
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.op4_jaccard_groups(spark, d).collect()}
     assert got == brute(rows)
+
+
+def test_frequent_columns_and_cells(spark, monkeypatch):
+    """With small limits all columns count as frequent and groups meet in cells."""
+    monkeypatch.setattr(jaccard, "FREQUENT", 2)
+    monkeypatch.setattr(jaccard, "CELL", 8)
+    rng = random.Random(8)
+    base = [f"b{k}" for k in range(60)]
+    rows = []
+    for k in range(120):  # one family of near copies, many of them just below the threshold
+        words = list(base)
+        for _ in range(rng.choice((0, 1, 2, 2, 3))):
+            words[rng.randrange(60)] = f"x{rng.randrange(10**6)}"
+        rows.append((k, " ".join(words)))
+    check(spark, rows)
+
+
+def test_words_built_to_collide_are_told_apart(spark):
+    word = "a"
+    for _ in range(10):
+        word += word.translate(str.maketrans("ab", "ba"))
+    check(spark, [(1, word), (2, word.translate(str.maketrans("ab", "ba")))])
+
+
+def test_product_matches_brute_force():
+    rng = random.Random(9)
+    import numpy as np
+
+    sets = [np.array(sorted({rng.randrange(3000) if rng.random() < 0.5 else rng.randrange(40) for _ in range(rng.randrange(1, 200))}), np.uint64) for _ in range(90)]
+    got = jaccard.overlaps(sets[:60], sets[60:])
+    assert got.tolist() == [[len(set(a.tolist()) & set(b.tolist())) for b in sets[60:]] for a in sets[:60]]
