@@ -180,21 +180,19 @@ def labelled(stats: DataFrame, labels: DataFrame) -> DataFrame:
     """Statistics of texts with a label, at most about ROWS by a hash of the id; bad: quality 0."""
     known = labels.select(F.col("doc_id").alias("label_id"), F.col("quality").alias("quality")).where("label_id is not null and quality is not null")
     n = known.count()
-    if n > ROWS:
-        known = known.where(F.pmod(F.xxhash64("label_id"), F.lit(10_000)) < int(10_000 * ROWS / n))
+    if n > ROWS:  # of the hash's 64 bits as many as it takes
+        known = known.where(F.xxhash64("label_id") <= F.lit(int(-(2**63) + 2**64 * ROWS / n)).cast("long"))
     rows = stats.join(known, F.col("doc_id") == F.col("label_id"))
     return written(rows.select(*FEATURES, (F.col("quality") == 0).cast("int").alias("bad"), F.pmod(F.hash("doc_id"), F.lit(3)).alias("fold")))
 
 
 def op10_quality_rules(spark, sf_dir: str) -> DataFrame:
     """Statistics of every document, the base rules' verdict, and that of the list learned from `labels`."""
-    docs = documents(spark, sf_dir)
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    some = docs.join(labels.select(F.col("doc_id").alias("k")).distinct(), F.col("doc_id") == F.col("k"), "left_semi")
-    rules = learn(labelled(statistics(some), labels))
+    stats = written(statistics(documents(spark, sf_dir)))  # a small row for each text: these are joined, never texts
+    rules = learn(labelled(stats, spark.read.parquet(f"{sf_dir}/labels.parquet")))
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
     return (
-        statistics(docs).withColumn("base_failed", failed).withColumn("rule", verdict(rules))
+        stats.withColumn("base_failed", failed).withColumn("rule", verdict(rules))
         .select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", (~F.col("base_failed") & (F.col("rule") == 0)).alias("kept"), "rule")
     )
 
