@@ -40,7 +40,7 @@ from .rolling import distinct, mixed, shingles
 #: Links need this many hundredths; words of a shingle.
 PERCENT, WORDS = 75, 5
 #: Bits of the table of counts, and of the parts in which it is summed.
-TABLE_BITS, PART_BITS = 21, 16
+TABLE_BITS, PART_BITS = 21, 13
 #: Entries of a block of columns; entries of a task that are dealt out at once; rows of a column that make it a frequent one.
 BLOCK, SEND, FREQUENT = 1 << 19, 1 << 21, 64
 #: Rows of one partner that are compared in one task; rows of a side of a cell.
@@ -232,7 +232,7 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
             if a_s:
                 yield pa.RecordBatch.from_arrays([pa.array(a_s, pa.int64()), pa.array(b_s, pa.int64())], ["a", "b"])
 
-    rows = need.join(texts, "doc_id").select("a", "part", "side", "doc_id", "text")
+    rows = need.hint("merge").join(texts, "doc_id").select("a", "part", "side", "doc_id", "text")
     return rows.repartition("a", "part").sortWithinPartitions("a", "part", "side").mapInArrow(run, "a long, b long")
 
 
@@ -328,7 +328,7 @@ def cells(members: DataFrame, texts: DataFrame) -> DataFrame:
                 b.append(y)
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    rows = sides.join(texts.select(F.col("doc_id").alias("a"), "text"), "a").select("cell", "side", "grp", "text")
+    rows = sides.hint("merge").join(texts.select(F.col("doc_id").alias("a"), "text"), "a").select("cell", "side", "grp", "text")
     return rows.groupBy("cell").applyInArrow(run, "a long, b long")
 
 
@@ -358,6 +358,9 @@ def groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     pairs = written(by_id(by_id(pairs, "x", "a"), "y", "b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "overlap").where("a <> b"))
     frequent = written(by_id(found.where("column is not null"), "x", "a").select("column", "a", "nx"))
     dropped(found)
+    # texts that may be compared, in one pass over all of them; the plan is the same at every size
+    needed = pairs.select("a").unionByName(pairs.select(F.col("b").alias("a"))).unionByName(frequent.select("a")).distinct()
+    some = written(some.join(needed.hint("merge"), F.col("doc_id") == F.col("a"), "left_semi"))
 
     # each row with its best partner
     head = frequent.groupBy("column").agg(F.min(F.struct("a", "nx")).alias("head")).select("column", F.col("head.a").alias("h"), F.col("head.nx").alias("nh"))
