@@ -1,211 +1,392 @@
 """Suffix-array dedup (operator 9): every byte that lies in a 100-byte string which also starts earlier.
 
-The suffixes of all documents are compared to a depth of 100 bytes by a sort of sampled ones, as the difference-cover
-algorithm does, but the sample is chosen by content. Of the 64 windows of 37 bytes in a 100-byte string, the one of
-smallest hash, leftmost of equals, marks its sampled suffix. So, as with a difference cover, equal strings have a sampled
-suffix at equal distance from their starts; and it is one in about 32, where a cover by position of depth 3 takes two in
-three. Then:
-
-1. Each sampled suffix gets a triple: its window, the whole text that the starts it marks can see, and its place. All
-   triples are sorted. Adjacent ones that agree in window and text are copies over all their starts, at once.
-2. Where a window has several texts, one of each text is kept, and the other suffixes - each start that it marks - are
-   named by their 100 bytes, sorted and compared with their neighbours. This is the only recursion there need be, as
-   names are as long as the depth.
-
-Both sorts are by range, with the place in the key, so a string that a third of all rows hold is dealt out over as many
-tasks as it needs; the tasks' edges are stitched by a table of two rows a task. Nothing but those is gathered.
+The suffixes of all documents are compared to a depth of 100 bytes by a difference cover. Nine of 64 positions, counted
+from a text's start, are sampled such that every two positions have a distance below 64 at which both are sampled. So two
+equal strings have sampled suffixes at equal distance from their starts, which share the 37 bytes that are left at least.
+
+1. Sampled suffixes are triples of the name of their first 37 bytes, their document and their place. They are sorted, and
+   those whose name occurs once are done, as no string of theirs repeats.
+2. Recursion on names: the others are named again, by the first name and by all that the 64 starts before them can see, and
+   sorted. Of those that agree, all starts of all but the first repeat at once.
+3. Merge of the remaining suffixes: starts before a sampled suffix that came first in its second name, while its first
+   name has several, are named by their 100 bytes and sorted; all but the first of adjacent equal ones repeat. Names are
+   as long as the depth now, so no further recursion can tell them apart.
+
+Triples are dealt out by name in packed blocks, sorted in numpy: names that one task meets more than twice are thinned
+out before they are sent, so a string that a third of all rows hold costs a block two entries a task. The first names,
+of 40 bits beside the block's number, only choose candidates; the later ones have a hash modulo 2**64 and one modulo a prime.
+Places go back to the texts by document, whose texts stream past them.
 
 Defined results: a null text counts as empty; texts of less than 100 bytes keep all; rows with a null id are compared
-with nothing and keep all; rows that repeat an id and its text are one document, each returned; columns other than the id
-and the text are left out; earlier means a smaller id, or an earlier start in the same document, so ties don't occur; an
-empty table gives an empty table.
+with nothing and keep all; rows that repeat an id and its text are one document, each returned; of rows with one id and
+several texts each text is a document, in the order of a hash; columns other than the id and the text are left out;
+earlier means a smaller id, or an earlier start in the same document, so ties don't occur; an empty table gives an empty
+table.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+import math
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents, keyed, written
-from .rolling import Prefixes
-
-#: Bytes of a string, and of the windows in it that compete; a sampled suffix marks at most DEPTH - WINDOW + 1 starts.
-DEPTH, WINDOW = 100, 37
-_SPAN = DEPTH - WINDOW + 1
-#: Starts of a long text that are looked at together.
-PART = 1 << 20
-#: Rows after which a batch of results is sent on.
-SEND = 200_000
-
-
-def _raw(text) -> np.ndarray:
-    return np.frombuffer(text.as_py().encode(), np.uint8)
-
-
-def sampled(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of the suffixes that a text's strings mark: the window's hash, the hash of what their starts see, the first of these starts, and their number."""
-    found = []
-    for at in range(0, len(raw) - DEPTH + 1, PART):
-        part = raw[at : at + PART + DEPTH - 1]
-        hashes = Prefixes(part)
-        begin = np.arange(len(part) - WINDOW + 1)
-        value = window = hashes.of(begin, begin + WINDOW)
-        index = begin.astype(np.int32)
-        step = 1
-        while step < _SPAN:  # the smallest of 2, 4, ... neighbours
-            right = value[step:] < value[:-step]
-            value = np.where(right, value[step:], value[:-step])
-            index = np.where(right, index[step:], index[:-step])
-            step *= 2
-        start = np.flatnonzero(np.append(True, index[1:] != index[:-1]))
-        stop = np.append(start[1:], len(index))
-        found.append((window[index[start]], hashes.of(start, stop + DEPTH - 1) + (stop - start).astype(np.uint64), start + at, stop - start))
-    return tuple(map(np.concatenate, zip(*found, strict=True))) if found else (np.empty(0, np.uint64),) * 2 + (np.empty(0, np.int64),) * 2
-
-
-def triples(rows: DataFrame) -> DataFrame:
-    """window, seen, doc_id, place of all sampled suffixes; place: 64 times the first start, plus the number of starts, less 1."""
+from .common import documents, dropped, keyed, written
+from .rolling import Exact, Prefixes, mixed
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out, held = [], 0
-            for k, key in enumerate(batch.column(0).to_pylist()):
-                window, seen, start, number = sampled(_raw(batch.column(1)[k]))
-                out.append((window.view(np.int64), seen.view(np.int64), np.full(len(start), key), start * _SPAN + number - 1))
-                held += len(start)
-                if held >= SEND or k + 1 == batch.num_rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).astype(np.int64)) for x in zip(*out, strict=True)], ["window", "seen", "doc_id", "place"])
-                    out, held = [], 0
+#: Bytes of a string; the cover's period, and the positions in it, whose differences are all numbers below the period. Fixed values.
+DEPTH, PERIOD = 100, 64
+COVER = (1, 2, 3, 6, 15, 17, 35, 43, 60)
+#: What is left of a string behind the last position at which its sampled suffix can start.
+WINDOW = DEPTH - PERIOD + 1
+#: Entries of a block that is sorted in one task; entries of a task that are dealt out at once; bytes of the texts whose places are kept together.
+BLOCK, SEND, SHARD = 1 << 21, 1 << 21, 1 << 23
 
-    return rows.mapInArrow(run, "window long, seen long, doc_id long, place long")
+_PACKET = ["to", "kind", "ids", "keys", "numbers", "fields"]
+_SCHEMA = "to long, kind int, ids binary, keys binary, numbers binary, fields binary"
 
 
-def neighbours(rows: DataFrame) -> DataFrame:
-    """rows (window, seen, doc_id, place) sorted and compared. Rows that an earlier equal one covers come back without window; of the others the first of each text, where a window has several texts or is at an edge of a task."""
-    by = ["window", "seen", "doc_id", "place"]
+def sampled(size: int) -> np.ndarray:
+    """Positions of the sampled suffixes that strings of a text of so many bytes can see."""
+    if size < DEPTH:
+        return np.empty(0, np.int64)
+    at = (np.arange(0, size, PERIOD)[:, None] + np.array(COVER)).ravel()
+    return at[at <= size - WINDOW]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def cut(columns: list[np.ndarray], last: bool) -> pa.RecordBatch | None:
-            """What is known of all windows but the last, which may go on."""
-            window, seen, doc, place = columns
-            new = np.append(True, window[1:] != window[:-1])
-            text = new | np.append(True, seen[1:] != seen[:-1])
-            of = np.cumsum(new) - 1
-            several = np.bincount(of, text) > 1
-            several[0] |= edge
-            several[-1] |= last
-            same = ~text & (doc == doc[np.maximum.accumulate(np.where(text, np.arange(len(text)), 0))]) & (place == place[np.maximum.accumulate(np.where(text, np.arange(len(text)), 0))])
-            keep = np.flatnonzero((~text & ~same) | (text & several[of]))
-            hide = ~text[keep]
-            return pa.RecordBatch.from_arrays([pa.array(window[keep], mask=hide), pa.array(seen[keep], mask=hide), pa.array(doc[keep]), pa.array(place[keep])], by) if len(keep) else None
-
-        held = [np.empty(0, np.int64)] * 4
-        edge = True
-        for batch in batches:
-            rows = [np.concatenate([h, c.to_numpy()]) for h, c in zip(held, batch.columns, strict=True)]
-            at = int(np.searchsorted(rows[0], rows[0][-1])) if len(rows[0]) else 0
-            if at:
-                made = cut([x[:at] for x in rows], False)
-                if made:
-                    yield made
-                edge = False
-            rest = [x[at:] for x in rows]
-            if len(rest[0]) > SEND:  # one window fills many batches: send what an earlier row covers, keep one row of each text
-                text = np.append(True, rest[1][1:] != rest[1][:-1])
-                gone = np.flatnonzero(~text)
-                none = pa.nulls(len(gone), pa.int64())
-                if len(gone):
-                    yield pa.RecordBatch.from_arrays([none, none, pa.array(rest[2][gone]), pa.array(rest[3][gone])], by)
-                rest = [x[text] for x in rest]
-            held = rest
-        if len(held[0]):
-            made = cut(held, True)
-            if made:
-                yield made
-
-    return rows.repartitionByRange(*by).sortWithinPartitions(*by).mapInArrow(run, "window long, seen long, doc_id long, place long")
-
-
-def strings(rows: DataFrame, places: DataFrame) -> DataFrame:
-    """name, doc_id, start of each start that `places` (doc_id, places) mark, named by its 100 bytes."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k, key in enumerate(batch.column(0).to_pylist()):
-                place = np.unique(np.array(batch.column(2)[k].as_py(), np.int64))
-                raw = _raw(batch.column(1)[k])
-                hashes = Prefixes(raw)
-                number = place % _SPAN + 1
-                done = np.cumsum(number)
-                start = np.repeat(place // _SPAN - (done - number), number) + np.arange(done[-1])
-                start = np.unique(start[start + DEPTH <= len(raw)])
-                for at in range(0, len(start), SEND):
-                    some = start[at : at + SEND]
-                    yield pa.RecordBatch.from_arrays([pa.array(hashes.of(some, some + DEPTH).view(np.int64)), pa.array(np.full(len(some), key)), pa.array(some)], ["name", "doc_id", "start"])
+def _starts(at: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first and the last start that sees the sampled suffix at each position."""
+    return np.maximum(at - PERIOD + 1, 0), np.minimum(at, size - DEPTH)
 
-    return rows.join(places, "doc_id").select("doc_id", "text", "places").mapInArrow(run, "name long, doc_id long, start long")
 
+def _marked(begin: np.ndarray, end: np.ndarray, size: int) -> np.ndarray:
+    """Which starts lie in one of the ranges, ends included."""
+    edge = np.bincount(begin, minlength=size + 1) - np.bincount(end + 1, minlength=size + 1)
+    return np.cumsum(edge)[:size] > 0
 
-def adjacent(rows: DataFrame) -> DataFrame:
-    """doc_id, place of the rows (name, doc_id, start) that an earlier one of their name covers; with name: the first row of a task's first and last name, which another task may cover."""
-    by = ["name", "doc_id", "start"]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def of(name, doc, start, hide: bool) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.nulls(len(name), pa.int64()) if hide else pa.array(name), pa.array(doc), pa.array(start * _SPAN)], ["name", "doc_id", "place"])
+class Entries:
+    """Entries (document, fields) of a task that are dealt out together. fields: a structured array."""
+
+    def __init__(self):
+        self.ids, self.keys, self.fields, self.held = [], [], [], 0
+
+    def add(self, doc: tuple[int, int], fields: np.ndarray) -> None:
+        if len(fields):
+            self.ids.append(doc[0])
+            self.keys.append(doc[1])
+            self.fields.append(fields)
+            self.held += len(fields)
+
+    def joined(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """ids and keys of the documents; of each entry the document's number and its fields."""
+        of = np.repeat(np.arange(len(self.ids), dtype=np.uint32), list(map(len, self.fields)))
+        return np.array(self.ids, np.int64), np.array(self.keys, np.int64), of, np.concatenate(self.fields)
+
+
+def dealt(to: np.ndarray, kind: int, ids: np.ndarray, keys: np.ndarray, of: np.ndarray, fields: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """One packet for each value of `to`; entries are in the order of documents."""
+    if not len(to):
+        return
+    order = np.argsort(to.astype(np.uint16) if to.max() < 1 << 16 else to, kind="stable")
+    to, of, fields = to[order], of[order], fields[order]
+    edge = np.append(np.flatnonzero(np.append(True, to[1:] != to[:-1])), len(to))
+    out = []
+    for a, b in zip(edge[:-1], edge[1:], strict=True):
+        own = of[a:b]
+        at = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
+        out.append((int(to[a]), kind, ids[own[at]].tobytes(), keys[own[at]].tobytes(), np.diff(np.append(at, b - a)).astype(np.uint32).tobytes(), fields[a:b].tobytes()))
+    kinds = (pa.int64(), pa.int32(), *[pa.binary()] * 4)
+    for k in range(0, len(out), 1000):
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out[k : k + 1000], strict=True), kinds, strict=True)], _PACKET)
 
-        before = head = None
+
+def opened(part: pa.Table | pa.RecordBatch, kind: np.dtype) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """What `joined` gives, of all these packets; documents are in order of id and key."""
+    flat = lambda name, t: np.frombuffer(b"".join(part.column(name).to_pylist()), t)
+    ids, keys = flat("ids", np.int64), flat("keys", np.int64)
+    order = np.lexsort((keys, ids))
+    new = _new(ids[order], keys[order])
+    name = np.empty(len(ids), np.uint32)
+    name[order] = np.cumsum(new) - 1
+    return ids[order][new], keys[order][new], np.repeat(name, flat("numbers", np.uint32)), flat("fields", kind)
+
+
+def _shard(ids: np.ndarray, keys: np.ndarray, shards: int) -> np.ndarray:
+    return (ids ^ keys) % shards
+
+
+def _place(of: np.ndarray, at: np.ndarray) -> np.ndarray:
+    return of.astype(np.uint64) << np.uint64(32) | at.astype(np.uint64)
+
+
+def _new(*columns: np.ndarray) -> np.ndarray:
+    """Which rows differ from the one before."""
+    out = np.zeros(len(columns[0]) - 1, bool)
+    for c in columns:
+        out |= c[1:] != c[:-1]
+    return np.append(True, out)
+
+
+def _text(raw) -> np.ndarray:
+    return np.frombuffer(raw.as_buffer(), np.uint8) if raw.is_valid else np.empty(0, np.uint8)
+
+
+FIRST = np.dtype([("name", np.uint8, 5), ("at", "<u4")])
+SECOND = np.dtype([("name", "<u8"), ("seen", "<u8"), ("more", "<u4"), ("at", "<u4")])
+THIRD = np.dtype([("name", "<u8"), ("more", "<u4"), ("at", "<u4")])
+AT = np.dtype([("at", "<u4")])
+#: Kinds of packets: of what is still to be compared, of what is known to go on or to repeat.
+OPEN, KNOWN = 0, 1
+
+
+def _only(at: np.ndarray) -> np.ndarray:
+    out = np.empty(len(at), AT)
+    out["at"] = at
+    return out
+
+
+def triples(rows: DataFrame, blocks: int, shards: int) -> DataFrame:
+    """Packets of the sampled suffixes of rows (doc_id, key, text) by the name of their first bytes; with KNOWN those, by shard, of names that a task has met more than twice."""
+
+    def deal(held: Entries) -> Iterator[pa.RecordBatch]:
+        ids, keys, of, (name, at) = *held.joined()[:3], zip(*[(f["name"], f["at"]) for f in held.fields], strict=True)
+        name, at = np.concatenate(name), np.concatenate(at)
+        order = np.argsort(name, kind="stable")
+        new = _new(name[order])
+        third = np.zeros(len(name), bool)
+        third[order[2:]] = ~new[2:] & ~new[1:-1]
+        yield from dealt(_shard(ids, keys, shards)[of[third]], KNOWN, ids, keys, of[third], _only(at[third]))
+        name, at, of = name[~third], at[~third], of[~third]
+        out = np.empty(len(name), FIRST)
+        out["name"] = (name // np.uint64(blocks)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]
+        out["at"] = at
+        yield from dealt(name % np.uint64(blocks), OPEN, ids, keys, of, out)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, met = Entries(), set()
         for batch in batches:
-            name, doc, start = (c.to_numpy() for c in batch.columns)
-            if not len(name):
+            for doc, text in zip(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True), batch.column(2), strict=True):
+                raw = _text(text)
+                at = sampled(len(raw))
+                if not len(at) or doc in met:
+                    continue
+                met.add(doc)
+                entry = np.empty(len(at), [("name", "<u8"), ("at", "<u4")])
+                entry["name"], entry["at"] = Prefixes(raw).of(at, at + WINDOW), at
+                held.add(doc, entry)
+                if held.held >= SEND:
+                    yield from deal(held)
+                    held, met = Entries(), set()
+        if held.held:
+            yield from deal(held)
+
+    return rows.select("doc_id", "key", "text").mapInArrow(run, _SCHEMA)
+
+
+def _sorted(packets: DataFrame, shards: int, solve: Callable) -> DataFrame:
+    """What solve makes of each block's entries, as packets by shard; KNOWN ones pass as they are."""
+
+    def run(part: pa.Table) -> pa.Table:
+        return pa.Table.from_batches(list(solve(part)), pa.schema([("to", pa.int64()), ("kind", pa.int32()), *[(c, pa.binary()) for c in _PACKET[2:]]]))
+
+    return packets.where(F.col("kind") == OPEN).groupBy("to").applyInArrow(run, _SCHEMA).unionByName(packets.where(F.col("kind") == KNOWN))
+
+
+def again(packets: DataFrame, shards: int) -> DataFrame:
+    """Packets, by shard, of the sampled suffixes whose first name occurs more than once."""
+
+    def solve(part: pa.Table) -> Iterator[pa.RecordBatch]:
+        ids, keys, of, fields = opened(part, FIRST)
+        name = np.zeros((len(fields), 8), np.uint8)
+        name[:, :5] = fields["name"]
+        name, place = name.view("<u8").ravel(), _place(of, fields["at"])
+        order = np.lexsort((place, name))
+        name, place = name[order], place[order]
+        once = _new(name, place)  # one document from several tasks
+        name, place = name[once], place[once]
+        new = _new(name)
+        several = ~(new & np.append(new[1:], True))
+        place = np.sort(place[several])
+        of = (place >> np.uint64(32)).astype(np.int64)
+        yield from dealt(_shard(ids, keys, shards)[of], KNOWN, ids, keys, of, _only(place & np.uint64(2**32 - 1)))
+
+    return _sorted(packets, shards, solve)
+
+
+def beside(rows: DataFrame, packets: list[DataFrame], use: Callable, schema, shards: int) -> DataFrame:
+    """use(stream) of each task, where stream has (batch, documents, places) of texts of one shard, and places(document) is a list: for each of the packets the document's sorted places, or None."""
+    last = len(packets)
+    shard = F.pmod(F.coalesce(F.col("doc_id").bitwiseXOR(F.col("key")), F.col("key")), F.lit(shards))
+    own, sent = ["doc_id", "key", "text", "rest"], ["ids", "keys", "numbers", "fields"]
+    both = rows.select(shard.alias("to"), F.lit(last).alias("turn"), *own, *[F.lit(None).cast("binary").alias(c) for c in sent])
+    for k, p in enumerate(packets):
+        both = both.unionByName(p.select("to", F.lit(k).alias("turn"), *[F.lit(None).cast(rows.schema[c].dataType).alias(c) for c in own], *sent))
+
+    def tables(held: list[list]) -> list[dict]:
+        out = []
+        for rows in held:
+            places = {}
+            if rows:
+                ids, keys, of, fields = opened(pa.Table.from_batches(rows), AT)
+                order = np.lexsort((fields["at"], of))
+                of, at = of[order], fields["at"][order].astype(np.int64)
+                begin = np.searchsorted(of, np.arange(len(ids) + 1))
+                places = {(i, j): at[begin[k] : begin[k + 1]] for k, (i, j) in enumerate(zip(ids.tolist(), keys.tolist(), strict=True))}
+            out.append(places)
+        return out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def stream():
+            shard, held, places = None, [], None
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                to, turn = (batch.column(c).to_numpy() for c in ("to", "turn"))
+                edge = np.append(np.flatnonzero(_new(to, turn)), len(to))
+                for a, b in zip(edge[:-1], edge[1:], strict=True):
+                    if to[a] != shard:
+                        shard, held, places = to[a], [[] for _ in range(last)], None
+                    part = batch.slice(a, b - a)
+                    if turn[a] < last:
+                        held[turn[a]].append(part)
+                        continue
+                    if places is None:
+                        places, held = tables(held), None
+                    docs = list(zip(part.column("doc_id").to_pylist(), part.column("key").to_pylist(), strict=True))
+                    yield part, docs, lambda doc, places=places: [p.get(doc) for p in places]
+
+        yield from use(stream())
+
+    return both.repartition("to").sortWithinPartitions("to", "turn", "doc_id", "key").mapInArrow(run, schema)
+
+
+def _once(stream: Iterator) -> Iterator:
+    """(document, text, places) of each document once; its rows stand together."""
+    last = None
+    for part, docs, places in stream:
+        for doc, text in zip(docs, part.column("text"), strict=True):
+            if doc != last:
+                last = doc
+                yield doc, text, places(doc)
+
+
+def named_again(rows: DataFrame, marks: DataFrame, blocks: int, shards: int) -> DataFrame:
+    """Packets of marked sampled suffixes by their first name, with the name of all that their starts see; with KNOWN those, by shard, that the same task has met before."""
+
+    def deal(held: Entries) -> Iterator[pa.RecordBatch]:
+        ids, keys, of, f = held.joined()
+        rank = np.empty(len(ids), np.int64)
+        rank[np.lexsort((keys, ids))] = np.arange(len(ids))
+        order = np.lexsort((_place(rank[of], f["at"]), f["more"], f["seen"], f["name"]))
+        later = np.zeros(len(f), bool)
+        later[order] = ~_new(f["name"][order], f["seen"][order], f["more"][order])
+        yield from dealt(_shard(ids, keys, shards)[of[later]], KNOWN, ids, keys, of[later], _only(f["at"][later]))
+        yield from dealt(f["name"][~later] % np.uint64(blocks), OPEN, ids, keys, of[~later], f[~later])
+
+    def use(stream: Iterator) -> Iterator[pa.RecordBatch]:
+        held = Entries()
+        for doc, text, (at,) in _once(stream):
+            if at is None:
                 continue
-            if head is None:
-                yield of(name[:1], doc[:1], start[:1], False)
-            new = np.append(before is None or name[0] != before[0], name[1:] != name[:-1])
-            again = np.append(before is not None and (name[0], doc[0], start[0]) == before, (name[1:] == name[:-1]) & (doc[1:] == doc[:-1]) & (start[1:] == start[:-1]))
-            keep = np.flatnonzero(~new & ~again)
-            if len(keep):
-                yield of(name[keep], doc[keep], start[keep], True)
-            if new.any():
-                k = int(np.flatnonzero(new)[-1])
-                head = [x[k : k + 1] for x in (name, doc, start)]
-            before = name[-1], doc[-1], start[-1]
-        if head:
-            yield of(*head, False)
-
-    return rows.repartitionByRange(*by).sortWithinPartitions(*by).mapInArrow(run, "name long, doc_id long, place long")
-
-
-def _all_but_first(rows: DataFrame, *keys: str) -> DataFrame:
-    """doc_id, place of all rows but the smallest of each key; there are at most as many of a key as tasks."""
-    each = rows.groupBy(*keys).agg(F.array_sort(F.collect_set(F.struct("doc_id", "place"))).alias("rows"))
-    return each.select(F.explode(F.slice("rows", 2, F.greatest(F.size("rows") - 1, F.lit(0)))).alias("r")).select("r.*")
-
-
-def covered(rows: DataFrame) -> DataFrame:
-    """doc_id, places (array): all starts of strings that also start earlier, in rows of doc_id, text."""
-    some = rows.where("doc_id is not null")
-    sorted_ = written(neighbours(triples(some)))
-    left = sorted_.where("window is not null")
-    firsts = left.groupBy("window", "seen").agg(F.min(F.struct("doc_id", "place")).alias("first")).select("first.*")
-    places = firsts.groupBy("doc_id").agg(F.collect_list("place").alias("places"))
-    named = written(adjacent(strings(some, places)))
-    found = [x.select("doc_id", "place") for x in (sorted_.where("window is null"), _all_but_first(left, "window", "seen"), named.where("name is null"), _all_but_first(named.where("name is not null"), "name"))]
-    out = found[0]
-    for x in found[1:]:
-        out = out.unionByName(x)
-    return out.groupBy("doc_id").agg(F.collect_list("place").alias("places"))
+            raw = _text(text)
+            at = at[np.append(True, at[1:] != at[:-1])]
+            hashes = Exact(raw)
+            begin, end = _starts(at, len(raw))
+            f = np.empty(len(at), SECOND)
+            seen, f["more"] = hashes.both(begin, end + DEPTH)
+            f["name"], f["seen"], f["at"] = hashes.of(at, at + WINDOW), mixed(seen + (at - begin).astype(np.uint64) * np.uint64(DEPTH) + (end - begin).astype(np.uint64)), at
+            held.add(doc, f)
+            if held.held >= SEND:
+                yield from deal(held)
+                held = Entries()
+        if held.held:
+            yield from deal(held)
+
+    return beside(rows, [marks], use, _SCHEMA, shards)
+
+
+def compared(packets: DataFrame, shards: int) -> DataFrame:
+    """Packets by shard: KNOWN suffixes whose starts all repeat; OPEN ones that came first in their second name, where the first name has several."""
+
+    def solve(part: pa.Table) -> Iterator[pa.RecordBatch]:
+        ids, keys, of, f = opened(part, SECOND)
+        place = _place(of, f["at"])
+        order = np.lexsort((place, f["more"], f["seen"], f["name"]))
+        f, place = f[order], place[order]
+        first, second = _new(f["name"]), _new(f["name"], f["seen"], f["more"])
+        number = np.add.reduceat(second.astype(np.int64), np.flatnonzero(first))
+        several = np.repeat(number > 1, np.diff(np.append(np.flatnonzero(first), len(f))))
+        for kind, on in ((KNOWN, ~second), (OPEN, second & several)):
+            some = np.sort(place[on])
+            who = (some >> np.uint64(32)).astype(np.int64)
+            yield from dealt(_shard(ids, keys, shards)[who], kind, ids, keys, who, _only(some & np.uint64(2**32 - 1)))
+
+    return _sorted(packets, shards, solve)
+
+
+def merged(rows: DataFrame, sorted_: DataFrame, blocks: int, shards: int) -> DataFrame:
+    """Packets of the remaining suffixes by the name of their 100 bytes; with KNOWN the starts, by shard, that the same task has met before."""
+
+    def deal(held: Entries) -> Iterator[pa.RecordBatch]:
+        ids, keys, of, f = held.joined()
+        rank = np.empty(len(ids), np.int64)
+        rank[np.lexsort((keys, ids))] = np.arange(len(ids))
+        order = np.lexsort((_place(rank[of], f["at"]), f["more"], f["name"]))
+        later = np.zeros(len(f), bool)
+        later[order] = ~_new(f["name"][order], f["more"][order])
+        yield from dealt(_shard(ids, keys, shards)[of[later]], KNOWN, ids, keys, of[later], _only(f["at"][later]))
+        yield from dealt(f["name"][~later] % np.uint64(blocks), OPEN, ids, keys, of[~later], f[~later])
+
+    def use(stream: Iterator) -> Iterator[pa.RecordBatch]:
+        held = Entries()
+        for doc, text, (left, done) in _once(stream):
+            if left is None:
+                continue
+            raw = _text(text)
+            on = _marked(*_starts(left, len(raw)), len(raw))
+            if done is not None:
+                on &= ~_marked(*_starts(done, len(raw)), len(raw))
+            start = np.flatnonzero(on)
+            hashes = Exact(raw)
+            for k in range(0, len(start), SEND):
+                some = start[k : k + SEND]
+                f = np.empty(len(some), THIRD)
+                f["name"], f["more"] = hashes.both(some, some + DEPTH)
+                f["at"] = some
+                held.add(doc, f)
+                if held.held >= SEND:
+                    yield from deal(held)
+                    held = Entries()
+        if held.held:
+            yield from deal(held)
+
+    return beside(rows, [sorted_.where(F.col("kind") == OPEN), sorted_.where(F.col("kind") == KNOWN)], use, _SCHEMA, shards)
+
+
+def repeated(packets: DataFrame, shards: int) -> DataFrame:
+    """Packets, by shard, of the starts whose 100 bytes an earlier one has."""
+
+    def solve(part: pa.Table) -> Iterator[pa.RecordBatch]:
+        ids, keys, of, f = opened(part, THIRD)
+        place = _place(of, f["at"])
+        order = np.lexsort((place, f["more"], f["name"]))
+        name, more, place = f["name"][order], f["more"][order], place[order]
+        place = np.sort(place[~_new(name, more)])
+        of = (place >> np.uint64(32)).astype(np.int64)
+        yield from dealt(_shard(ids, keys, shards)[of], KNOWN, ids, keys, of, _only(place & np.uint64(2**32 - 1)))
+
+    return _sorted(packets, shards, solve)
 
 
 def runs(places: list[int] | None, size: int) -> list[tuple[int, int]]:
-    """Maximal runs [start, stop) of bytes that the strings at these starts cover, in a text of so many bytes."""
-    place = np.unique(np.array(places or [], np.int64))
-    start, stop = place // _SPAN, np.minimum(place // _SPAN + place % _SPAN + DEPTH, size)
+    """Maximal runs [start, stop) of bytes that strings cover, in a text of so many bytes. A place is 64 times a start, plus the number of starts from there on, less 1."""
+    place = np.unique(np.array(places if places is not None else [], np.int64))
+    start, stop = place // PERIOD, np.minimum(place // PERIOD + place % PERIOD + DEPTH, size)
     if not len(start):
         return []
     reach = np.maximum.accumulate(stop)
@@ -214,17 +395,54 @@ def runs(places: list[int] | None, size: int) -> list[tuple[int, int]]:
     return list(zip(start[new].tolist(), reach[last].tolist(), strict=True))
 
 
+def spans(done: np.ndarray | None, single: np.ndarray | None, size: int) -> list[tuple[int, int]]:
+    """Runs of bytes to remove: done are sampled suffixes whose starts all repeat, single are starts."""
+    places = [single * PERIOD] if single is not None else []
+    if done is not None:
+        begin, end = _starts(done, size)
+        places.append(begin * PERIOD + end - begin)
+    return runs(np.concatenate(places), size) if places else []
+
+
+def searched(rows: DataFrame) -> tuple[DataFrame, DataFrame, int]:
+    """(sampled suffixes whose starts all repeat, starts that repeat, number of shards) as packets, of rows doc_id, key, text."""
+    some = rows.where("doc_id is not null")
+    size, sizes = some.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)), F.coalesce(F.sum(F.greatest(F.octet_length("text") - DEPTH, F.lit(0))), F.lit(0))).first()
+    shards, blocks = max(1, math.ceil(size / SHARD)), max(1, math.ceil(sizes * len(COVER) / PERIOD / BLOCK))
+    first = written(again(triples(some, blocks, shards), shards))
+    second = written(compared(named_again(some, first, blocks, shards), shards))
+    dropped(first)
+    third = written(repeated(merged(some, second, blocks, shards), shards))
+    return second.where(F.col("kind") == KNOWN), third, shards
+
+
+def with_spans(rows: DataFrame, make: Callable, schema) -> DataFrame:
+    """make(batch, spans) of rows (doc_id, key, text, rest), spans of each row's text to remove; rows with a null id have none."""
+    done, single, shards = searched(rows)
+
+    def use(stream: Iterator) -> Iterator[pa.RecordBatch]:
+        for part, docs, places in stream:
+            found = [spans(*places(doc), len(_text(text))) if doc[0] is not None else [] for doc, text in zip(docs, part.column("text"), strict=True)]
+            yield make(part, found)
+
+    return beside(rows, [done, single], use, schema, shards)
+
+
+def _keyed(df: DataFrame, id_col: str, text_col: str, *rest: str) -> DataFrame:
+    """doc_id, key, text, rest: key tells texts of one id apart; rest is a struct of these columns."""
+    of = F.struct(*[F.col(c) for c in rest]) if rest else F.lit(None).cast("boolean")
+    return df.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("key"), F.col(text_col).alias("text"), of.alias("rest"))
+
+
 def repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, text, spans (array of struct<start, stop>, bytes) for every row."""
-    rows = keyed(df, id_col, text_col)
+    kind = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
-        for batch in batches:
-            spans = [[{"start": a, "stop": b} for a, b in runs(p.as_py(), len(t.as_buffer()))] for t, p in zip(batch.column(1), batch.column(2), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(spans, kind)], ["doc_id", "text", "spans"])
+    def make(part: pa.RecordBatch, found: list) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("text"), pa.array([[{"start": a, "stop": b} for a, b in f] for f in found], kind)], ["doc_id", "text", "spans"])
 
-    return rows.join(covered(rows), "doc_id", "left").select("doc_id", "text", "places").mapInArrow(run, "doc_id long, text string, spans array<struct<start:long,stop:long>>")
+    rows = _keyed(keyed(df, id_col, text_col), "doc_id", "text")
+    return with_spans(rows, make, "doc_id long, text string, spans array<struct<start:long,stop:long>>")
 
 
 def without(raw: bytes, spans: list[tuple[int, int]]) -> bytes:
@@ -249,43 +467,34 @@ def whole_characters(raw: bytes, spans: list[tuple[int, int]]) -> list[tuple[int
 
 
 def remove(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """df with repeated passages taken out of its text, by whole characters. Ids must be unique; null texts and rows with a null id stay as they are."""
+    """df with repeated passages taken out of its text, by whole characters. Each row loses what repeats in its own text; null texts and rows with a null id stay as they are."""
     names = df.columns
-    at = names.index(text_col)
-    found = covered(keyed(df, id_col, text_col)).select(F.col("doc_id").alias("_repeat_id"), F.col("places").alias("_repeat_places"))
-    rows = df.join(found, df[id_col] == F.col("_repeat_id"), "left").drop("_repeat_id")
+    rest = [c for c in names if c != text_col]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = []
-            for text, places in zip(batch.column(at), batch.column(len(names)), strict=True):
-                if text.is_valid and places.is_valid:
-                    raw = text.as_py().encode()
-                    texts.append(without(raw, whole_characters(raw, runs(places.as_py(), len(raw)))).decode())
-                else:
-                    texts.append(text.as_py())
-            columns = list(batch.columns[: len(names)])
-            columns[at] = pa.array(texts, pa.string())
-            yield pa.RecordBatch.from_arrays(columns, names)
+    def make(part: pa.RecordBatch, found: list) -> pa.RecordBatch:
+        texts = []
+        for text, of in zip(part.column("text"), found, strict=True):
+            if of:
+                raw = text.as_py().encode()
+                texts.append(without(raw, whole_characters(raw, of)).decode())
+            else:
+                texts.append(text.as_py())
+        of = dict(zip(rest, part.column("rest").flatten(), strict=True)) | {text_col: pa.array(texts, pa.string())}
+        return pa.RecordBatch.from_arrays([of[c] for c in names], names)
 
-    return rows.mapInArrow(run, df.schema)
+    return with_spans(_keyed(df, id_col, text_col, *rest), make, df.schema)
 
 
 def op9_suffix_dedup(spark, sf_dir: str) -> DataFrame:
     """What each document loses as repeated 100-byte strings, and a digest of what it keeps."""
-    rows = keyed(documents(spark, sf_dir), "doc_id", "text")
+    names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for text, places in zip(batch.column(1), batch.column(2), strict=True):
-                raw = text.as_py().encode()
-                spans = runs(places.as_py(), len(raw))
-                out.append((len(raw), sum(b - a for a, b in spans), len(spans), hashlib.sha256(without(raw, spans)).hexdigest()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, zip(*out, strict=True))] if out else [batch.column(0), *[pa.nulls(0, k) for k in (pa.int64(),) * 3 + (pa.string(),)]], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+    def make(part: pa.RecordBatch, found: list) -> pa.RecordBatch:
+        raws = [_text(t).tobytes() for t in part.column("text")]
+        columns = [[len(raw) for raw in raws], [sum(b - a for a, b in of) for of in found], [len(of) for of in found], [hashlib.sha256(without(raw, of)).hexdigest() for raw, of in zip(raws, found, strict=True)]]
+        return pa.RecordBatch.from_arrays([part.column("doc_id"), *[pa.array(c, t) for c, t in zip(columns, [pa.int64()] * 3 + [pa.string()], strict=True)]], names)
 
-    joined = rows.join(covered(rows), "doc_id", "left").select("doc_id", "text", "places")
-    return joined.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return with_spans(_keyed(keyed(documents(spark, sf_dir), "doc_id", "text"), "doc_id", "text"), make, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
 QUERIES = {"op9_suffix_dedup": op9_suffix_dedup}

@@ -60,14 +60,33 @@ def test_repeats_match_brute_force(spark):
     check(spark, rows)
 
 
-def test_long_texts_in_parts(spark, monkeypatch):
-    rng = random.Random(8)
-    text = "".join(rng.choice("abc d") for _ in range(900))
-    raw = suffixes.np.frombuffer(text.encode(), suffixes.np.uint8)
-    whole = suffixes.sampled(raw)
-    monkeypatch.setattr(suffixes, "PART", 64)
-    parts = suffixes.sampled(raw)
-    assert sum(whole[3]) == sum(parts[3]) == len(raw) - 99
+def test_every_two_positions_meet_in_the_cover():
+    cover = set(suffixes.COVER)
+    for i in range(suffixes.PERIOD):
+        for j in range(suffixes.PERIOD):
+            assert any((i + k) % suffixes.PERIOD in cover and (j + k) % suffixes.PERIOD in cover for k in range(suffixes.PERIOD))
+    assert suffixes.sampled(99).tolist() == [] and max(suffixes.sampled(5000)) <= 5000 - suffixes.WINDOW
+
+
+def test_small_blocks_and_tasks(spark, monkeypatch):
+    """Many blocks and shards, and entries that are dealt out a few at a time."""
+    for name in ("BLOCK", "SEND", "SHARD"):
+        monkeypatch.setattr(suffixes, name, 50)
+    rng = random.Random(14)
+    words = ["".join(rng.choice("abcdef") for _ in range(rng.randint(1, 9))) for _ in range(200)]
+    text = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    base = text(200)
+    check(spark, [(k, text(rng.randint(0, 30)) + base[rng.randrange(300) : rng.randrange(400, 900)] + text(5)) for k in range(40)])
+
+
+def test_one_id_with_several_texts(spark):
+    """Each row loses what repeats in its own text, and nothing that repeats in another row of its id."""
+    rng = random.Random(15)
+    text = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    shared, alone = text(150), text(400)
+    rows = [(1, shared + "x"), (2, alone), (2, "y" + shared), (None, shared)]
+    got = suffixes.remove(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in got) == sorted([(1, shared + "x"), (2, alone), (2, "y"), (0, shared)])
 
 
 def test_repeated_rows_are_one_document(spark):
