@@ -7,14 +7,16 @@ equal strings have sampled suffixes at equal distance from their starts, which s
 1. Sampled suffixes are triples of the name of their first 37 bytes, their document and their place. They are sorted, and
    those whose name occurs once are done, as no string of theirs repeats.
 2. Recursion on names: the others are named again, by the first name and by all that the 64 starts before them can see, and
-   sorted. Of those that agree, all starts of all but the first repeat at once.
-3. Merge of the remaining suffixes: starts before a sampled suffix that came first in its second name, while its first
-   name has several, are named by their 100 bytes and sorted; all but the first of adjacent equal ones repeat. Names are
-   as long as the depth now, so no further recursion can tell them apart.
+   sorted. Of those that agree, all starts of all but the first repeat at once. Those that came first are named by the
+   first name and the 32 bytes before it, and behind it: every string that sees the suffix sees one of these, so where no
+   other has that name, too, its starts are done.
+3. Merge of the remaining suffixes: the starts that are left are named by their 100 bytes and sorted; all but the first of
+   adjacent equal ones repeat. Names are as long as the depth now, so no further recursion can tell them apart.
 
 Triples are dealt out by name in packed blocks, sorted in numpy: names that one task meets more than twice are thinned
 out before they are sent, so a string that a third of all rows hold costs a block two entries a task. The first names,
-of 40 bits beside the block's number, only choose candidates; the later ones have a hash modulo 2**64 and one modulo a prime.
+of 40 bits beside the block's number, only choose candidates; the later ones are of 48 bits and more beside the block's
+number, and of a hash modulo a prime.
 Places go back to the texts by document, whose texts stream past them.
 
 Defined results: a null text counts as empty; texts of less than 100 bytes keep all; rows with a null id are compared
@@ -64,7 +66,9 @@ def _starts(at: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _marked(begin: np.ndarray, end: np.ndarray, size: int) -> np.ndarray:
-    """Which starts lie in one of the ranges, ends included."""
+    """Which starts lie in one of the ranges, ends included; ranges may be empty."""
+    some = begin <= end
+    begin, end = begin[some], end[some]
     edge = np.bincount(begin, minlength=size + 1) - np.bincount(end + 1, minlength=size + 1)
     return np.cumsum(edge)[:size] > 0
 
@@ -137,11 +141,24 @@ def _text(raw) -> np.ndarray:
 
 
 FIRST = np.dtype([("name", np.uint8, 5), ("at", "<u4")])
-SECOND = np.dtype([("name", "<u8"), ("seen", "<u8"), ("more", "<u4"), ("at", "<u4")])
-THIRD = np.dtype([("name", "<u8"), ("more", "<u4"), ("at", "<u4")])
+SECOND = np.dtype([("name", np.uint8, 5), ("seen", "<u8"), ("more", "<u4"), ("left", np.uint8, 3), ("right", np.uint8, 3), ("at", "<u4")])
+THIRD = np.dtype([("name", np.uint8, 6), ("more", "<u4"), ("at", "<u4")])
 AT = np.dtype([("at", "<u4")])
-#: Kinds of packets: of what is still to be compared, of what is known to go on or to repeat.
-OPEN, KNOWN = 0, 1
+#: Kinds of packets: what is still to be compared; what is known to go on or to repeat; suffixes of which only the starts far before them, or near, are open.
+OPEN, KNOWN, FAR, NEAR = 0, 1, 2, 3
+#: Starts at least so far before a sampled suffix see as many bytes before it, the others as many behind its first name.
+HALF = PERIOD // 2
+
+
+def _low(x: np.ndarray, size: int) -> np.ndarray:
+    """The lower bytes of numbers."""
+    return x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :size]
+
+
+def _number(x: np.ndarray) -> np.ndarray:
+    out = np.zeros((len(x), 8), np.uint8)
+    out[:, : x.shape[1]] = x
+    return out.view("<u8").ravel()
 
 
 def _only(at: np.ndarray) -> np.ndarray:
@@ -163,7 +180,7 @@ def triples(rows: DataFrame, blocks: int, shards: int) -> DataFrame:
         yield from dealt(_shard(ids, keys, shards)[of[third]], KNOWN, ids, keys, of[third], _only(at[third]))
         name, at, of = name[~third], at[~third], of[~third]
         out = np.empty(len(name), FIRST)
-        out["name"] = (name // np.uint64(blocks)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]
+        out["name"] = _low(name // np.uint64(blocks), 5)
         out["at"] = at
         yield from dealt(name % np.uint64(blocks), OPEN, ids, keys, of, out)
 
@@ -188,13 +205,28 @@ def triples(rows: DataFrame, blocks: int, shards: int) -> DataFrame:
     return rows.select("doc_id", "key", "text").mapInArrow(run, _SCHEMA)
 
 
-def _sorted(packets: DataFrame, shards: int, solve: Callable) -> DataFrame:
+def _sorted(packets: DataFrame, solve: Callable) -> DataFrame:
     """What solve makes of each block's entries, as packets by shard; KNOWN ones pass as they are."""
 
-    def run(part: pa.Table) -> pa.Table:
-        return pa.Table.from_batches(list(solve(part)), pa.schema([("to", pa.int64()), ("kind", pa.int32()), *[(c, pa.binary()) for c in _PACKET[2:]]]))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, block = [], None
+        for batch in batches:
+            yield batch.filter(pa.array(batch.column("kind").to_numpy() == KNOWN))
+            batch = batch.filter(pa.array(batch.column("kind").to_numpy() == OPEN))
+            if not batch.num_rows:
+                continue
+            to = batch.column("to").to_numpy()
+            edge = np.append(np.flatnonzero(_new(to)), len(to))
+            for a, b in zip(edge[:-1], edge[1:], strict=True):
+                if held and to[a] != block:
+                    yield from solve(pa.Table.from_batches(held))
+                    held = []
+                block = to[a]
+                held.append(batch.slice(a, b - a))
+        if held:
+            yield from solve(pa.Table.from_batches(held))
 
-    return packets.where(F.col("kind") == OPEN).groupBy("to").applyInArrow(run, _SCHEMA).unionByName(packets.where(F.col("kind") == KNOWN))
+    return packets.repartition("to").sortWithinPartitions("to").mapInArrow(run, _SCHEMA)
 
 
 def again(packets: DataFrame, shards: int) -> DataFrame:
@@ -202,9 +234,7 @@ def again(packets: DataFrame, shards: int) -> DataFrame:
 
     def solve(part: pa.Table) -> Iterator[pa.RecordBatch]:
         ids, keys, of, fields = opened(part, FIRST)
-        name = np.zeros((len(fields), 8), np.uint8)
-        name[:, :5] = fields["name"]
-        name, place = name.view("<u8").ravel(), _place(of, fields["at"])
+        name, place = _number(fields["name"]), _place(of, fields["at"])
         order = np.lexsort((place, name))
         name, place = name[order], place[order]
         once = _new(name, place)  # one document from several tasks
@@ -215,7 +245,7 @@ def again(packets: DataFrame, shards: int) -> DataFrame:
         of = (place >> np.uint64(32)).astype(np.int64)
         yield from dealt(_shard(ids, keys, shards)[of], KNOWN, ids, keys, of, _only(place & np.uint64(2**32 - 1)))
 
-    return _sorted(packets, shards, solve)
+    return _sorted(packets, solve)
 
 
 def beside(rows: DataFrame, packets: list[DataFrame], use: Callable, schema, shards: int) -> DataFrame:
@@ -275,18 +305,23 @@ def _once(stream: Iterator) -> Iterator:
                 yield doc, text, places(doc)
 
 
-def named_again(rows: DataFrame, marks: DataFrame, blocks: int, shards: int) -> DataFrame:
-    """Packets of marked sampled suffixes by their first name, with the name of all that their starts see; with KNOWN those, by shard, that the same task has met before."""
+def _dealt_once(held: Entries, blocks: int, shards: int, *by: str) -> Iterator[pa.RecordBatch]:
+    """The entries (to, fields) whose fields `by` come first in the task, by `to`; the others with KNOWN, by shard."""
+    ids, keys, of, entry = held.joined()
+    rank = np.empty(len(ids), np.int64)
+    rank[np.lexsort((keys, ids))] = np.arange(len(ids))
+    f = entry["fields"]
+    of_name = [entry["name"], *[f[c] for c in by]]
+    order = np.lexsort((_place(rank[of], f["at"]), *reversed(of_name)))
+    later = np.zeros(len(f), bool)
+    later[order] = ~_new(*[c[order] for c in of_name])
+    yield from dealt(_shard(ids, keys, shards)[of[later]], KNOWN, ids, keys, of[later], _only(f["at"][later]))
+    yield from dealt(entry["name"][~later] % np.uint64(blocks), OPEN, ids, keys, of[~later], f[~later])
 
-    def deal(held: Entries) -> Iterator[pa.RecordBatch]:
-        ids, keys, of, f = held.joined()
-        rank = np.empty(len(ids), np.int64)
-        rank[np.lexsort((keys, ids))] = np.arange(len(ids))
-        order = np.lexsort((_place(rank[of], f["at"]), f["more"], f["seen"], f["name"]))
-        later = np.zeros(len(f), bool)
-        later[order] = ~_new(f["name"][order], f["seen"][order], f["more"][order])
-        yield from dealt(_shard(ids, keys, shards)[of[later]], KNOWN, ids, keys, of[later], _only(f["at"][later]))
-        yield from dealt(f["name"][~later] % np.uint64(blocks), OPEN, ids, keys, of[~later], f[~later])
+
+def named_again(rows: DataFrame, marks: DataFrame, blocks: int, shards: int) -> DataFrame:
+    """Packets of marked sampled suffixes by their first name, with the name of all that their starts see, and of half of it before and behind; with KNOWN those, by shard, whose names the same task has met before."""
+    kind = np.dtype([("name", "<u8"), ("fields", SECOND)])
 
     def use(stream: Iterator) -> Iterator[pa.RecordBatch]:
         held = Entries()
@@ -297,75 +332,85 @@ def named_again(rows: DataFrame, marks: DataFrame, blocks: int, shards: int) ->
             at = at[np.append(True, at[1:] != at[:-1])]
             hashes = Exact(raw)
             begin, end = _starts(at, len(raw))
-            f = np.empty(len(at), SECOND)
+            entry = np.empty(len(at), kind)
+            entry["name"] = hashes.of(at, at + WINDOW)
+            f = entry["fields"]
             seen, f["more"] = hashes.both(begin, end + DEPTH)
-            f["name"], f["seen"], f["at"] = hashes.of(at, at + WINDOW), mixed(seen + (at - begin).astype(np.uint64) * np.uint64(DEPTH) + (end - begin).astype(np.uint64)), at
-            held.add(doc, f)
+            f["seen"] = mixed(seen + (at - begin).astype(np.uint64) * np.uint64(DEPTH) + (end - begin).astype(np.uint64))
+            f["name"] = _low(entry["name"] // np.uint64(blocks), 5)
+            f["left"] = _low(hashes.of(np.maximum(at - HALF, 0), at + WINDOW), 3)
+            f["right"] = _low(hashes.of(at, np.minimum(at + WINDOW + HALF, len(raw))), 3)
+            f["at"] = at
+            held.add(doc, entry)
             if held.held >= SEND:
-                yield from deal(held)
+                yield from _dealt_once(held, blocks, shards, "seen", "more")
                 held = Entries()
         if held.held:
-            yield from deal(held)
+            yield from _dealt_once(held, blocks, shards, "seen", "more")
 
     return beside(rows, [marks], use, _SCHEMA, shards)
 
 
+def _shared(group: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """Which rows have a value that another row of their group has, too."""
+    order = np.lexsort((value, group))
+    new = _new(group[order], value[order])
+    out = np.empty(len(group), bool)
+    out[order] = ~(new & np.append(new[1:], True))
+    return out
+
+
 def compared(packets: DataFrame, shards: int) -> DataFrame:
-    """Packets by shard: KNOWN suffixes whose starts all repeat; OPEN ones that came first in their second name, where the first name has several."""
+    """Packets by shard: KNOWN suffixes whose starts all repeat; of those that came first in their second name, the ones whose half before it (FAR), behind it (NEAR) or both (OPEN) another text of the first name has, too."""
 
     def solve(part: pa.Table) -> Iterator[pa.RecordBatch]:
         ids, keys, of, f = opened(part, SECOND)
-        place = _place(of, f["at"])
-        order = np.lexsort((place, f["more"], f["seen"], f["name"]))
-        f, place = f[order], place[order]
-        first, second = _new(f["name"]), _new(f["name"], f["seen"], f["more"])
-        number = np.add.reduceat(second.astype(np.int64), np.flatnonzero(first))
-        several = np.repeat(number > 1, np.diff(np.append(np.flatnonzero(first), len(f))))
-        for kind, on in ((KNOWN, ~second), (OPEN, second & several)):
+        place, name = _place(of, f["at"]), _number(f["name"])
+        order = np.lexsort((place, f["more"], f["seen"], name))
+        f, place, name = f[order], place[order], name[order]
+        first = _new(name, f["seen"], f["more"])
+        far, near = np.zeros(len(f), bool), np.zeros(len(f), bool)
+        far[first] = _shared(name[first], _number(f["left"][first]))
+        near[first] = _shared(name[first], _number(f["right"][first]))
+        for kind, on in ((KNOWN, ~first), (OPEN, far & near), (FAR, far & ~near), (NEAR, near & ~far)):
             some = np.sort(place[on])
             who = (some >> np.uint64(32)).astype(np.int64)
             yield from dealt(_shard(ids, keys, shards)[who], kind, ids, keys, who, _only(some & np.uint64(2**32 - 1)))
 
-    return _sorted(packets, shards, solve)
+    return _sorted(packets, solve)
 
 
 def merged(rows: DataFrame, sorted_: DataFrame, blocks: int, shards: int) -> DataFrame:
     """Packets of the remaining suffixes by the name of their 100 bytes; with KNOWN the starts, by shard, that the same task has met before."""
-
-    def deal(held: Entries) -> Iterator[pa.RecordBatch]:
-        ids, keys, of, f = held.joined()
-        rank = np.empty(len(ids), np.int64)
-        rank[np.lexsort((keys, ids))] = np.arange(len(ids))
-        order = np.lexsort((_place(rank[of], f["at"]), f["more"], f["name"]))
-        later = np.zeros(len(f), bool)
-        later[order] = ~_new(f["name"][order], f["more"][order])
-        yield from dealt(_shard(ids, keys, shards)[of[later]], KNOWN, ids, keys, of[later], _only(f["at"][later]))
-        yield from dealt(f["name"][~later] % np.uint64(blocks), OPEN, ids, keys, of[~later], f[~later])
+    kind = np.dtype([("name", "<u8"), ("fields", THIRD)])
 
     def use(stream: Iterator) -> Iterator[pa.RecordBatch]:
         held = Entries()
-        for doc, text, (left, done) in _once(stream):
-            if left is None:
+        for doc, text, (both, far, near, done) in _once(stream):
+            size = len(raw := _text(text))
+            on = np.zeros(size, bool)
+            for at, least, most in ((both, 0, PERIOD - 1), (far, HALF, PERIOD - 1), (near, 0, HALF - 1)):
+                if at is not None:
+                    on |= _marked(np.maximum(at - most, 0), np.minimum(at - least, size - DEPTH), size)
+            if not on.any():
                 continue
-            raw = _text(text)
-            on = _marked(*_starts(left, len(raw)), len(raw))
             if done is not None:
-                on &= ~_marked(*_starts(done, len(raw)), len(raw))
+                on &= ~_marked(*_starts(done, size), size)
             start = np.flatnonzero(on)
             hashes = Exact(raw)
             for k in range(0, len(start), SEND):
                 some = start[k : k + SEND]
-                f = np.empty(len(some), THIRD)
-                f["name"], f["more"] = hashes.both(some, some + DEPTH)
-                f["at"] = some
-                held.add(doc, f)
+                entry = np.empty(len(some), kind)
+                entry["name"], entry["fields"]["more"] = hashes.both(some, some + DEPTH)
+                entry["fields"]["name"], entry["fields"]["at"] = _low(entry["name"] // np.uint64(blocks), 6), some
+                held.add(doc, entry)
                 if held.held >= SEND:
-                    yield from deal(held)
+                    yield from _dealt_once(held, blocks, shards, "more")
                     held = Entries()
         if held.held:
-            yield from deal(held)
+            yield from _dealt_once(held, blocks, shards, "more")
 
-    return beside(rows, [sorted_.where(F.col("kind") == OPEN), sorted_.where(F.col("kind") == KNOWN)], use, _SCHEMA, shards)
+    return beside(rows, [sorted_.where(F.col("kind") == k) for k in (OPEN, FAR, NEAR, KNOWN)], use, _SCHEMA, shards)
 
 
 def repeated(packets: DataFrame, shards: int) -> DataFrame:
@@ -374,13 +419,14 @@ def repeated(packets: DataFrame, shards: int) -> DataFrame:
     def solve(part: pa.Table) -> Iterator[pa.RecordBatch]:
         ids, keys, of, f = opened(part, THIRD)
         place = _place(of, f["at"])
-        order = np.lexsort((place, f["more"], f["name"]))
-        name, more, place = f["name"][order], f["more"][order], place[order]
+        name = _number(f["name"])
+        order = np.lexsort((place, f["more"], name))
+        name, more, place = name[order], f["more"][order], place[order]
         place = np.sort(place[~_new(name, more)])
         of = (place >> np.uint64(32)).astype(np.int64)
         yield from dealt(_shard(ids, keys, shards)[of], KNOWN, ids, keys, of, _only(place & np.uint64(2**32 - 1)))
 
-    return _sorted(packets, shards, solve)
+    return _sorted(packets, solve)
 
 
 def runs(places: list[int] | None, size: int) -> list[tuple[int, int]]:
