@@ -36,6 +36,12 @@ def rule(mode: str) -> Column:
     return rules[mode]
 
 
+def of_counts(each: DataFrame, mode: str = "mode") -> DataFrame:
+    """aoi_id, month, y, x, water, valid, valid_count, water_count by the mode's rule, of what `counts` gives; several modes need it only once."""
+    valid = F.col("valid_count") > 0
+    return each.select("aoi_id", "month", "y", "x", (rule(mode) & valid).alias("water"), valid.alias("valid"), "valid_count", "water_count")
+
+
 def monthly(cells: DataFrame, mode: str = "mode", cadence: str = "submonthly") -> DataFrame:
     """aoi_id, month, y, x, water, valid, valid_count, water_count. Monthly input passes as it is, whatever the mode."""
     if cadence == "monthly":
@@ -44,8 +50,7 @@ def monthly(cells: DataFrame, mode: str = "mode", cadence: str = "submonthly") -
         raise CompositeError(f"unknown cadence: {cadence}")
     if mode == "supplied":
         raise CompositeError("a supplied composite needs monthly input")
-    valid = F.col("valid_count") > 0
-    return counts(cells).select("aoi_id", "month", "y", "x", (rule(mode) & valid).alias("water"), valid.alias("valid"), "valid_count", "water_count")
+    return of_counts(counts(cells), mode)
 
 
 def time_steps(cells: DataFrame) -> DataFrame:

@@ -2,19 +2,27 @@
 
 Perimeter is four edges a pixel less two for each pair of neighbours; the major axis is four times the root of the larger
 eigenvalue of the pixels' covariance; width is twice the largest distance to the nearest pixel outside the patch, found
-by rows first and then down the columns, within the distance that the row already bounds.
+by rows first and then down each column, in Arrow batches: what a column needs of its rows is one number a pixel, so the
+work is as the number of pixels.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import cv, ratio
 from .components import label, pixels
 
 KEY = ("aoi_id", "month", "label")
 LEAST_PIXELS = 3
+#: Pixels so deep are found by comparing neighbours in numpy; columns with deeper ones by the lower envelope of parabolas.
+NEAR = 32
 
 
 def properties(labelled: DataFrame, resolution_m: float = 30.0) -> DataFrame:
@@ -34,14 +42,71 @@ def properties(labelled: DataFrame, resolution_m: float = 30.0) -> DataFrame:
     return out.select(*KEY, "n_pixels", "y0", "x0", "y1", "x1", (F.col("n_pixels") * resolution_m * resolution_m).alias("area_m2"), ((4 * F.col("n_pixels") - 2 * shared) * resolution_m).alias("perimeter_m"), axis.alias("major_axis_m"))
 
 
+def column_depths(g: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """Squared distance of each pixel to the nearest one outside its patch; g is the distance along the row, and the pixels of a column stand together, each unbroken stretch from one of the starts on."""
+    at = np.arange(len(g)) + np.searchsorted(start, np.arange(len(g)), "right")  # a pixel outside stands before each stretch
+    padded = np.zeros(len(g) + len(start) + 1, np.int64)
+    padded[at] = g
+    square = padded * padded
+    best = square.copy()
+    on, k = at, 1
+    while len(on := on[best[on] > k * k]) and k <= NEAR:
+        best[on] = np.minimum(best[on], k * k + np.minimum(square[on - k], square[np.minimum(on + k, len(square) - 1)]))
+        k += 1
+    stop = np.append(start[1:], len(g)) - 1
+    for j in np.unique(np.searchsorted(start, on - np.searchsorted(at[start], on, "right"), "right") - 1) if len(on) else ():
+        first, last = at[start[j]] - 1, at[stop[j]] + 1
+        best[first : last + 1] = _envelope(square[first : last + 1].tolist())
+    return best[at]
+
+
+def _envelope(f: list[int]) -> list[int]:
+    """min over q of f[q] + (p - q)^2 for each p, by the lower envelope of the parabolas."""
+    roots, edges = [0], [float("-inf"), float("inf")]
+    for q in range(1, len(f)):
+        while (s := (f[q] + q * q - f[r := roots[-1]] - r * r) / (2 * (q - r))) <= edges[-2]:
+            roots.pop()
+            edges.pop()
+        roots.append(q)
+        edges[-1:] = [s, float("inf")]
+    out, k = [], 0
+    for p in range(len(f)):
+        while edges[k + 1] < p:
+            k += 1
+        out.append((p - roots[k]) ** 2 + f[roots[k]])
+    return out
+
+
 def widths(labelled: DataFrame, resolution_m: float = 30.0) -> DataFrame:
     """aoi_id, month, label, width_pixels, width_m."""
     rows = labelled.select(*KEY, "y", "x0", "x1", F.explode(F.sequence("x0", "x1")).alias("x"))
-    rows = rows.select(*KEY, "y", "x", F.least(F.col("x") - F.col("x0") + 1, F.col("x1") - F.col("x") + 1).alias("g"))
-    steps = rows.select(*KEY, F.col("y").alias("at"), "x", F.col("g").alias("own"), F.explode(F.sequence(-F.col("g"), F.col("g"))).alias("dy")).withColumn("y", F.col("at") + F.col("dy"))
-    near = steps.join(rows, [*KEY, "y", "x"], "left")
-    square = F.col("dy") * F.col("dy") + F.coalesce("g", F.lit(0)) * F.coalesce("g", F.lit(0))
-    depth = near.groupBy(*KEY, "at", "x").agg(F.min(square).alias("d2"))
+    rows = rows.select(*KEY, "x", F.xxhash64(*KEY, "x").alias("column"), F.col("y").cast("long").alias("y"), F.least(F.col("x") - F.col("x0") + 1, F.col("x1") - F.col("x") + 1).cast("long").alias("g"))
+    names = [*KEY, "d2"]
+    schema = T.StructType([*[rows.schema[c] for c in KEY], T.StructField("d2", T.LongType())])
+
+    def deepest(part: pa.Table) -> Iterator[pa.RecordBatch]:
+        column, y, g = (part.column(c).to_numpy() for c in ("column", "y", "g"))
+        new = np.append(True, column[1:] != column[:-1])
+        start = np.flatnonzero(new | np.append(True, y[1:] != y[:-1] + 1))
+        most = np.maximum.reduceat(column_depths(g, start), np.flatnonzero(new))
+        yield from part.select(list(KEY)).take(pa.array(np.flatnonzero(new))).append_column("d2", pa.array(most)).select(names).to_batches()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            part = pa.Table.from_batches([batch])
+            held = pa.concat_tables([held, part]) if held is not None else part
+            column = held.column("column").to_numpy()
+            at = len(column) - int(np.argmax(column[::-1] != column[-1])) if (column != column[-1]).any() else 0
+            if at:  # the last column may go on
+                yield from deepest(held.slice(0, at))
+                held = held.slice(at)
+        if held is not None:
+            yield from deepest(held)
+
+    depth = rows.repartition(*KEY, "x").sortWithinPartitions(*KEY, "x", "y").mapInArrow(run, schema)
     wide = depth.groupBy(*KEY).agg((2 * F.sqrt(F.max("d2").cast("double"))).alias("width_pixels"))
     return wide.withColumn("width_m", F.col("width_pixels") * resolution_m)
 

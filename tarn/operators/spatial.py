@@ -36,7 +36,9 @@ def channel_windows(reaches: DataFrame, length_m: float) -> DataFrame:
     return rows.select(F.format_string("reach-%s-%04d", F.col("hydro_id").cast("string"), F.col("k") + 1).alias("window_id"), "hydro_id", (F.col("k") * F.lit(float(length_m))).alias("start_m"), F.least((F.col("k") + 1) * F.lit(float(length_m)), F.col("whole").cast("double")).alias("stop_m"))
 
 
-def reach_wet_any_month(wet: DataFrame, reach_pixels: DataFrame) -> DataFrame:
-    """hydro_id, ever_wet: whether any wet pixel (y, x) lies in a reach's pixels (hydro_id, y, x); a pixel of several reaches counts for each."""
-    hit = reach_pixels.select("hydro_id", "y", "x").distinct().join(wet.select("y", "x", F.lit(True).alias("hit")).distinct(), ["y", "x"], "left")
+def reach_wet_any_month(product: DataFrame, reach_pixels: DataFrame) -> DataFrame:
+    """hydro_id, ever_wet: whether in any month a pixel of a reach (aoi_id, hydro_id, y, x) is observed as wet; a pixel of several reaches counts for each."""
+    at = ["aoi_id", "y", "x"]
+    wet = product.where(F.col("water") & F.col("valid")).select(*at, F.lit(True).alias("hit")).distinct()
+    hit = reach_pixels.select("hydro_id", *at).distinct().join(wet, at, "left")
     return hit.groupBy("hydro_id").agg(F.bool_or(F.coalesce("hit", F.lit(False))).alias("ever_wet"))

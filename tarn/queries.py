@@ -12,6 +12,7 @@ from .functions import month_start
 from .operators import clustering, composite, connectivity, dynamics, extent, legacy, patches, persistence, spatial
 from .plans import results
 from .plans.metrics import METRICS as METRIC_SPECS
+from .session import written
 from .sources import cubes
 
 CELL_M2, THRESHOLD_M = 900.0, 10.0
@@ -345,44 +346,52 @@ pts AS (SELECT dual.*, hy, (year(month) * 12 + month(month)) - (year(peak_month)
 )
 
 
-def _series(spark, d, mode: str = "mode") -> DataFrame:
-    return extent.apsec(product(spark, d, mode)).select("aoi_id", "month", F.col("apsec").alias("value"))
+def _counts(spark, d) -> DataFrame:
+    """One row a pixel and month, written once and read by each mode and by the anchors."""
+    return written(composite.counts(obs(spark, d)))
 
 
-def _dual(spark, d) -> DataFrame:
-    return _series(spark, d, "max_water").withColumn("composite", F.lit("max_water")).unionByName(_series(spark, d, "median").withColumn("composite", F.lit("median")))
+def _series(counts: DataFrame, mode: str = "mode") -> DataFrame:
+    return extent.apsec(composite.of_counts(counts, mode)).select("aoi_id", "month", F.col("apsec").alias("value"))
 
 
-def _years(spark, d) -> DataFrame:
-    return dynamics.anchors(_series(spark, d))
+def _dual(counts: DataFrame) -> DataFrame:
+    return _series(counts, "max_water").withColumn("composite", F.lit("max_water")).unionByName(_series(counts, "median").withColumn("composite", F.lit("median")))
+
+
+def _years(counts: DataFrame) -> DataFrame:
+    return dynamics.anchors(_series(counts))
 
 
 @query(f"WITH {APSEC}, {YEARS} SELECT aoi_id, hy, peak_month, end_dry_month, round(peak_value, 6) AS peak_value, round(end_dry_value, 6) AS end_dry_value, confidence FROM anc")
 def hy_anchors(spark, d):
-    return _years(spark, d).select("aoi_id", "hy", "peak_month", "end_dry_month", r6("peak_value"), r6("end_dry_value"), "confidence")
+    return _years(_counts(spark, d)).select("aoi_id", "hy", "peak_month", "end_dry_month", r6("peak_value"), r6("end_dry_value"), "confidence")
 
 
 @query(f"WITH {APSEC}, {YEARS}, {BOTH} SELECT aoi_id, hy, composite, CAST(count(*) AS BIGINT) AS n_points, CASE WHEN count(*) >= 3 THEN round(regr_slope(value, t), 5) END AS slope FROM pts GROUP BY ALL")
 def extent_contraction_linear(spark, d):
-    return dynamics.contraction(_dual(spark, d), _years(spark, d)).withColumn("slope", F.round("slope", 5))
+    c = _counts(spark, d)
+    return dynamics.contraction(_dual(c), _years(c)).withColumn("slope", F.round("slope", 5))
 
 
 @query(f"""WITH {APSEC}, {YEARS}, {BOTH}, sl AS (SELECT a.aoi_id, a.hy, a.composite, median((b.value - a.value) / (b.t - a.t)) AS slope FROM pts a JOIN pts b ON a.aoi_id = b.aoi_id AND a.hy = b.hy AND a.composite = b.composite AND b.t > a.t GROUP BY ALL),
 n AS (SELECT aoi_id, hy, composite, count(*) AS n FROM pts GROUP BY ALL) SELECT aoi_id, hy, composite, CAST(n AS BIGINT) AS n_points, CASE WHEN n >= 3 THEN round(slope, 5) END AS slope FROM n LEFT JOIN sl USING (aoi_id, hy, composite)""")
 def extent_contraction_theil_sen(spark, d):
-    return dynamics.contraction(_dual(spark, d), _years(spark, d), "theil_sen").withColumn("slope", F.round("slope", 5))
+    c = _counts(spark, d)
+    return dynamics.contraction(_dual(c), _years(c), "theil_sen").withColumn("slope", F.round("slope", 5))
 
 
 @query(f"""WITH {APSEC}, {YEARS}, {BOTH} SELECT aoi_id, hy, coalesce(abs(max(CASE WHEN composite = 'max_water' THEN value END) - max(CASE WHEN composite = 'median' THEN value END)) > 10, false) AS composite_sensitive
 FROM dual JOIN anc USING (aoi_id) WHERE month = end_dry_month GROUP BY ALL""")
 def composite_sensitivity(spark, d):
-    return dynamics.composite_sensitivity(_dual(spark, d), _years(spark, d))
+    c = _counts(spark, d)
+    return dynamics.composite_sensitivity(_dual(c), _years(c))
 
 
 @query(f"""WITH {APSEC}, {YEARS}, c AS (SELECT a.aoi_id, a.hy, a.end_dry_month, min(s.month) FILTER (WHERE s.month > a.end_dry_month AND s.value >= 35) AS m FROM anc a LEFT JOIN ser s USING (aoi_id) GROUP BY ALL)
 SELECT aoi_id, hy, 'lpsec' AS metric, CAST((year(m) * 12 + month(m)) - (year(end_dry_month) * 12 + month(end_dry_month)) AS INTEGER) AS months, true AS proxy FROM c""")
 def reconnection_timing(spark, d):
-    series = _series(spark, d)
+    series = _series(_counts(spark, d))
     return dynamics.reconnection(dynamics.anchors(series), {"lpsec": 35.0}, lpsec=series)
 
 
@@ -392,7 +401,8 @@ u AS (SELECT aoi_id, hy, y, x, max(n) AS n, max(t) AS t FROM (SELECT aoi_id, hy,
 j AS (SELECT aoi_id, hy, count(*) FILTER (WHERE n = 1 AND t = 1) * 1.0 / count(*) AS jaccard FROM u GROUP BY ALL)
 SELECT aoi_id, hy, round(jaccard, 6) AS jaccard FROM k LEFT JOIN j USING (aoi_id, hy)""")
 def refuge_stability_jaccard(spark, d):
-    return dynamics.refuge_stability(product(spark, d), _years(spark, d)).select("aoi_id", "hy", r6("jaccard"))
+    c = _counts(spark, d)
+    return dynamics.refuge_stability(composite.of_counts(c), _years(c)).select("aoi_id", "hy", r6("jaccard"))
 
 
 # Networks -----------------------------------------------------------------------------------------------------------
@@ -528,13 +538,13 @@ def channel_windows(spark, d):
     return spatial.channel_windows(reaches(spark, d), 150)
 
 
-@query(f"""WITH {MONTHLY}, b AS (SELECT DISTINCT n_nationkey AS hydro_id, n_nationkey % 8 AS y, dx AS x FROM nation, range(0, 8) r(dx) WHERE (n_nationkey + dx) % 3 = 0),
-w AS (SELECT DISTINCT y, x FROM prod WHERE water AND month = DATE '1996-03-01' AND aoi_id = 'ASIA')
-SELECT hydro_id, bool_or(w.y IS NOT NULL) AS ever_wet FROM b LEFT JOIN w ON w.y = b.y AND w.x = b.x GROUP BY hydro_id""")
+@query(f"""WITH {MONTHLY}, b AS (SELECT DISTINCT r_name AS aoi_id, n_nationkey AS hydro_id, n_nationkey % 8 AS y, dx AS x FROM nation JOIN region ON n_regionkey = r_regionkey, range(0, 8) r(dx) WHERE (n_nationkey + dx) % 3 = 0),
+w AS (SELECT DISTINCT aoi_id, y, x FROM prod WHERE water)
+SELECT hydro_id, bool_or(w.y IS NOT NULL) AS ever_wet FROM b LEFT JOIN w ON w.aoi_id = b.aoi_id AND w.y = b.y AND w.x = b.x GROUP BY hydro_id""")
 def reach_wet_any_month(spark, d):
-    n = cubes.table(spark, d, "nation").select(F.col("n_nationkey").alias("hydro_id"), (F.col("n_nationkey") % 8).alias("y"), F.explode(F.sequence(F.lit(0), F.lit(7))).alias("x")).where("(hydro_id + x) % 3 = 0")
-    wet = product(spark, d).where("water and month = date'1996-03-01' and aoi_id = 'ASIA'")
-    return spatial.reach_wet_any_month(wet, n)
+    n = cubes.table(spark, d, "nation").join(cubes.table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    n = n.select(F.col("r_name").alias("aoi_id"), F.col("n_nationkey").alias("hydro_id"), (F.col("n_nationkey") % 8).alias("y"), F.explode(F.sequence(F.lit(0), F.lit(7))).alias("x")).where("(hydro_id + x) % 3 = 0")
+    return spatial.reach_wet_any_month(product(spark, d), n)
 
 
 # Earlier metrics ----------------------------------------------------------------------------------------------------
@@ -545,11 +555,19 @@ def legacy_pixel_persistence(spark, d):
     return legacy.pixel_persistence(product(spark, d)).select("aoi_id", r6("legacy_pp_mean"), "legacy_ra")
 
 
-@query(f"{PATCHES} SELECT aoi_id, month, round(sum(area_m2 / 1e6 * area_m2 / 1e6) / sum(area_m2 / 1e6), 6) AS legacy_awmpa, round(sum(major_axis_m / 1e3 * area_m2 / 1e6) / sum(area_m2 / 1e6), 6) AS legacy_awmpl, round(count(*) / sum(area_m2 / 1e6), 4) AS legacy_pf, round(count(*) / sum(major_axis_m / 1e3), 4) AS legacy_plf FROM prop GROUP BY ALL")
+@query(f"""{PATCHES}, k AS (SELECT aoi_id, month, count(*) AS n, CAST(sum(n_pixels) AS DOUBLE) AS px, CAST(sum(n_pixels * n_pixels) AS DOUBLE) AS px2, sum(major_axis_m / 1e3) AS km, sum(major_axis_m / 1e3 * n_pixels) AS kmpx FROM prop GROUP BY ALL)
+SELECT aoi_id, month, round(px2 * CAST(0.0009 AS DOUBLE) / px, 6) AS legacy_awmpa, round(kmpx / px, 6) AS legacy_awmpl, round(n / (px * CAST(0.0009 AS DOUBLE)), 4) AS legacy_pf, round(n / km, 4) AS legacy_plf FROM k""")
 def legacy_process_metrics(spark, d):
     return legacy.process_metrics(patches.properties(patches.patches(product(spark, d)))).select("aoi_id", "month", r6("legacy_awmpa"), r6("legacy_awmpl"), F.round("legacy_pf", 4).alias("legacy_pf"), F.round("legacy_plf", 4).alias("legacy_plf"))
 
 
+@query(f"""{PATCHES}, k AS (SELECT aoi_id, month, sum(0.25 * perimeter_m / sqrt(area_m2) * area_m2) / sum(area_m2) AS s, coalesce(sum(CASE WHEN major_axis_m > 0 THEN 2 * sqrt(area_m2 / pi()) / major_axis_m * area_m2 END), 0) / sum(area_m2) AS e FROM prop GROUP BY ALL)
+SELECT aoi_id, month, round(coalesce(s, 0), 6) AS legacy_awmsi, round(e, 6) AS legacy_awre FROM (SELECT DISTINCT aoi_id, month FROM prod) LEFT JOIN k USING (aoi_id, month)""")
+def legacy_shape_metrics(spark, d):
+    p = product(spark, d)
+    return legacy.shape_metrics(patches.properties(patches.patches(p)), p.select("aoi_id", "month").distinct()).select("aoi_id", "month", r6("legacy_awmsi"), r6("legacy_awre"))
+
+
 @query(f"WITH {APSEC} SELECT month, aoi_id, round(apsec, 6) AS apsec, round(valid_fraction, 6) AS valid_fraction FROM apsec")
 def legacy_wide_pivot(spark, d):
     a = extent.apsec(product(spark, d))
