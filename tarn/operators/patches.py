@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import cv, ratio
+from ..session import written
 from .components import label, pixels
 
 KEY = ("aoi_id", "month", "label")
@@ -112,8 +113,8 @@ def widths(labelled: DataFrame, resolution_m: float = 30.0) -> DataFrame:
 
 
 def patches(product: DataFrame, connectivity: int = 8, least_pixels: int = LEAST_PIXELS) -> DataFrame:
-    """Labelled runs of a monthly product's observed water."""
-    return label(product.where(F.col("water") & F.col("valid")), connectivity, least_pixels)
+    """Labelled runs of a monthly product's observed water, as a written table, as properties read them several times."""
+    return written(label(product.where(F.col("water") & F.col("valid")), connectivity, least_pixels))
 
 
 def patch_metrics(props: DataFrame, months: DataFrame, total_m2: DataFrame) -> DataFrame:

@@ -251,7 +251,7 @@ def patch_properties(spark, d):
 
 
 def _patch_metrics(spark, d) -> DataFrame:
-    p = product(spark, d)
+    p = written(product(spark, d))  # read for the labels, the months and the areas
     total = extent.areas(p).select("aoi_id", (F.col("n_pixels") * CELL_M2).alias("area_total_m2"))
     return patches.patch_metrics(patches.properties(patches.patches(p)), p.select("aoi_id", "month").distinct(), total)
 
@@ -556,9 +556,9 @@ def legacy_pixel_persistence(spark, d):
 
 
 @query(f"""{PATCHES}, k AS (SELECT aoi_id, month, count(*) AS n, CAST(sum(n_pixels) AS DOUBLE) AS px, CAST(sum(n_pixels * n_pixels) AS DOUBLE) AS px2, sum(major_axis_m / 1e3) AS km, sum(major_axis_m / 1e3 * n_pixels) AS kmpx FROM prop GROUP BY ALL)
-SELECT aoi_id, month, round(px2 * CAST(0.0009 AS DOUBLE) / px, 6) AS legacy_awmpa, round(kmpx / px, 6) AS legacy_awmpl, round(n / (px * CAST(0.0009 AS DOUBLE)), 4) AS legacy_pf, round(n / km, 4) AS legacy_plf FROM k""")
+SELECT aoi_id, month, px2 * CAST(0.0009 AS DOUBLE) / px AS legacy_awmpa, round(kmpx / px, 6) AS legacy_awmpl, round(n / (px * CAST(0.0009 AS DOUBLE)), 4) AS legacy_pf, round(n / km, 4) AS legacy_plf FROM k""")
 def legacy_process_metrics(spark, d):
-    return legacy.process_metrics(patches.properties(patches.patches(product(spark, d)))).select("aoi_id", "month", r6("legacy_awmpa"), r6("legacy_awmpl"), F.round("legacy_pf", 4).alias("legacy_pf"), F.round("legacy_plf", 4).alias("legacy_plf"))
+    return legacy.process_metrics(patches.properties(patches.patches(product(spark, d)))).select("aoi_id", "month", "legacy_awmpa", r6("legacy_awmpl"), F.round("legacy_pf", 4).alias("legacy_pf"), F.round("legacy_plf", 4).alias("legacy_plf"))
 
 
 @query(f"""{PATCHES}, k AS (SELECT aoi_id, month, sum(0.25 * perimeter_m / sqrt(area_m2) * area_m2) / sum(area_m2) AS s, coalesce(sum(CASE WHEN major_axis_m > 0 THEN 2 * sqrt(area_m2 / pi()) / major_axis_m * area_m2 END), 0) / sum(area_m2) AS e FROM prop GROUP BY ALL)
