@@ -57,3 +57,29 @@ def test_query(spark):
     got = {r.doc_id: r.n_tokens for r in token_counts.op5_separator_scan(spark, d).collect()}
     want = {r.doc_id: len(plain.encode_ordinary(r.text or "")) for r in spark.read.parquet(f"{d}/documents.parquet").collect()}
     assert got == want
+
+
+def test_runs_of_blocks_are_stitched(spark, monkeypatch):
+    """Documents that reach over many blocks and over several runs of blocks."""
+    monkeypatch.setattr(token_counts, "RUN", 3)
+    rng = np.random.default_rng(5)
+    ids = np.where(rng.random(3000) < 0.01, 7, rng.integers(8, 50, 3000)).astype("<u2")
+    raw = ids.tobytes()
+    rows = [("f", k, raw[a : a + 40]) for k, a in enumerate(range(0, len(raw), 40))]
+    got = token_counts.scan(spark.createDataFrame(rows, "file string, block long, data binary"), eod=7).collect()
+    assert sorted((r.ordinal, r.start, r.n_tokens) for r in got) == [(k, *x) for k, x in enumerate(brute(ids.tolist(), 7))]
+
+
+def test_files_are_flat_and_unindexed(spark):
+    """What the writer leaves is ids and separators and nothing else; a very long text crosses many ranges."""
+    plain = tiktoken.Encoding("p", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.read_ranks(RANKS), special_tokens={})
+    texts = ["one two", "", "long words " * 20_000, "last"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    blocks, order = token_counts.write_tokens(df, RANKS, block=1000)
+    (name,) = {r.file for r in blocks.select("file").distinct().collect()}
+    want = [x for t in texts for x in [*plain.encode_ordinary(t), token_counts.EOD]]
+    assert np.fromfile(name.removeprefix("file://"), "<u2").tolist() == want
+    got = order.join(token_counts.scan(blocks), ["file", "ordinal"]).collect()
+    assert {r.doc_id: r.n_tokens for r in got} == {k: len(plain.encode_ordinary(t)) for k, t in enumerate(texts)}
+    listed = token_counts.scan(token_counts.read_tokens(spark, name.rsplit("/", 1)[0], block=5000)).collect()
+    assert sorted((r.ordinal, r.start, r.n_tokens) for r in listed) == sorted((r.ordinal, r.start, r.n_tokens) for r in got)
