@@ -7,38 +7,60 @@ from pyspark.sql import functions as F
 
 from .metrics import METRICS
 
+#: Names, order and types of the long table's columns. Fixed values.
 SCHEMA = (
-    "run_id string, config_hash string, aoi_id string, window_id string, date date, hy int, metric string, metric_family string, "
-    "statistic string, value double, unit string, value_type string, edge_flag string, warning_flags array<string>"
+    "schema_version string, run_id string, config_hash string, package_version string, git_sha string, catchment_id string, aoi_id string, "
+    "zone string, window_id string, date timestamp, hy bigint, hy_anchor string, metric string, metric_family string, statistic string, value double, "
+    "unit string, value_type string, state string, n_pools bigint, n_valid_pixels bigint, n_water_pixels bigint, valid_fraction_month double, "
+    "min_valid_fraction_month double, low_coverage_flag boolean, edge_flag string, warning_flags array<string>, is_reportable boolean, "
+    "hy_confidence string, composite_sensitive boolean, source string, resolution_m double, crs string, area_unit string, length_unit string, "
+    "monthly_composite string, water_threshold double, threshold_method string, min_patch_pixels bigint, min_patch_area_m2 double, "
+    "connectivity_rule bigint, metric_dependency string, proxy_channel boolean, awre_length_method string, node_source string, "
+    "connected_wet_metric string, connected_wet_threshold double, reconnection_metric_used string, proxy_reconnection_flag boolean"
 )
-COLUMNS = [c.split()[0] for c in SCHEMA.split(", ")]
-NEVER_NULL = ("run_id", "config_hash", "aoi_id", "metric", "metric_family", "unit", "value_type", "warning_flags")
+KINDS = dict(c.split() for c in SCHEMA.split(", "))
+COLUMNS = list(KINDS)
+NEVER_NULL = (
+    "schema_version", "run_id", "config_hash", "package_version", "git_sha", "catchment_id", "aoi_id", "metric", "metric_family",
+    "unit", "value_type", "warning_flags", "is_reportable", "metric_dependency",
+)
+#: Values of columns that rows have where nothing else is known.
+BASE = {"schema_version": "1.2.0", "package_version": "0.2.0", "git_sha": "unknown", "catchment_id": "unknown"}
+ZONES, RULES = ("AOI", "channel", "1", "2", "3", "4"), (4, 8)
 PARTS = ("metric_family", "value_type")
 
 
 def long_rows(df: DataFrame, metrics: list[str], run_id: str, config_hash: str) -> DataFrame:
     """One row for each metric of each row of a wide table; columns of the schema that df lacks are null, NaN becomes null."""
-    have = set(df.columns)
-    kinds = dict(c.split() for c in SCHEMA.split(", "))
-    names = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value")) for m in metrics])
-    rows = df.withColumn("_m", F.explode(names))
-    value = F.col("_m.value")
-
-    def of(what: str) -> Column:
-        return F.create_map(*[F.lit(x) for m in metrics for x in (m, getattr(METRICS[m], what))])[F.col("_m.metric")]
-
-    made = {
-        "run_id": F.lit(run_id), "config_hash": F.lit(config_hash), "metric": F.col("_m.metric"), "value": F.when(~F.isnan(value), value),
-        "metric_family": of("family"), "unit": of("unit"), "value_type": of("value_type"),
-        "warning_flags": F.coalesce(F.col("warning_flags"), F.array()) if "warning_flags" in have else F.array(),
+    names = F.array(*[F.struct(F.lit(m).alias("metric"), F.lit(None).cast("string").alias("statistic"), F.col(m).cast("double").alias("value")) for m in metrics])
+    return tidy(df.drop("metric", "statistic", "value").select("*", F.inline(names)), run_id, config_hash)
+
+
+def tidy(rows: DataFrame, run_id: str, config_hash: str, **constants: object) -> DataFrame:
+    """Rows (aoi_id, metric, value and any other columns of the schema) with all columns, in order and typed."""
+    have = set(rows.columns)
+    value = F.col("value").cast("double")
+
+    def of(what) -> Column:
+        return F.create_map(*[F.lit(x) for m, spec in METRICS.items() for x in (m, what(spec))])[F.col("metric")]
+
+    made = {c: F.lit(v) for c, v in (BASE | constants).items()} | {
+        "run_id": F.lit(run_id), "config_hash": F.lit(config_hash), "value": F.when(~F.isnan(value), value),
+        "metric_family": of(lambda m: m.family), "value_type": of(lambda m: m.value_type),
+        "unit": F.when(F.lit("statistic" in have) & F.expr("statistic <=> 'cv'" if "statistic" in have else "false"), "dimensionless").otherwise(of(lambda m: m.unit)),
+        "metric_dependency": of(lambda m: ";".join(f"requires_{n}" for n in sorted(m.needs)) or "none"),
     }
-    return rows.select(*[made.get(c, F.col(c) if c in have else F.lit(None)).cast(kinds[c]).alias(c) for c in COLUMNS])
+    made |= {"warning_flags": F.coalesce("warning_flags", F.array()) if "warning_flags" in have else F.array(), "is_reportable": F.coalesce("is_reportable", F.lit(True)) if "is_reportable" in have else F.lit(True)}
+    return rows.select(*[made.get(c, F.col(c) if c in have else F.lit(None)).cast(kind).alias(c) for c, kind in KINDS.items()])
 
 
 def violations(df: DataFrame) -> DataFrame:
     """rule, n: rows that break each rule of the table, counted in one pass."""
-    rules = {f"{c} is null or empty": F.col(c).isNull() | ((F.col(c) == "") if c != "warning_flags" else F.lit(False)) for c in NEVER_NULL}
+    rules = {f"{c} is null or empty": F.col(c).isNull() | ((F.col(c) == "") if KINDS[c] == "string" else F.lit(False)) for c in NEVER_NULL}
     rules["unknown metric"] = ~F.col("metric").isin(*METRICS)
+    rules["unknown zone"] = ~F.col("zone").isin(*ZONES)
+    rules["unknown connectivity"] = ~F.col("connectivity_rule").isin(*RULES)
+    rules["fraction out of range"] = ~F.col("valid_fraction_month").between(0, 1) | ~F.col("min_valid_fraction_month").between(0, 1)
     rules["value is not a number"] = F.isnan("value")
     counts = df.agg(*[F.count_if(rule).alias(name) for name, rule in rules.items()])
     pairs = F.array(*[F.struct(F.lit(n).alias("rule"), F.col(f"`{n}`").alias("n")) for n in rules])

@@ -6,19 +6,23 @@ import hashlib
 import json
 
 #: Parts of a configuration that leave the results as they are.
-NOT_SCIENTIFIC = ("run_label", "compute", "output")
+NOT_SCIENTIFIC = ("run_label", "compute", "output", "gapfill")
 #: Fields that two runs must share: all that are there, and these in any case.
 COMPARED = ("schema_version", "crs", "resolution_m", "monthly_composite", "connectivity_rule", "min_patch_pixels", "aoi_id", "water_threshold", "node_source")
 REQUIRED = ("schema_version", "crs", "resolution_m", "monthly_composite", "connectivity_rule", "min_patch_pixels")
 
 
 def canonical(value: object) -> str:
-    return json.dumps(value, sort_keys=True, separators=(",", ":"), allow_nan=False)
+    return json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False, allow_nan=False)
+
+
+def digest(value: object) -> str:
+    return hashlib.sha256(canonical(value).encode()).hexdigest()
 
 
 def config_hash(config: dict) -> str:
     """Equal for configurations that give equal results."""
-    return hashlib.sha256(canonical({k: v for k, v in config.items() if k not in NOT_SCIENTIFIC}).encode()).hexdigest()
+    return digest({k: v for k, v in config.items() if k not in NOT_SCIENTIFIC})
 
 
 def manifest(config: dict, **fields: object) -> dict:

@@ -603,4 +603,4 @@ TIDY = ("number_of_pools", "lpi", "awmsi", "awre", "mesh")
 )
 def tidy_metrics_table(spark, d):
     wide = _patch_metrics(spark, d).withColumnRenamed("month", "date")
-    return results.long_rows(wide, list(TIDY), "run", "config").select("aoi_id", "date", "metric", "metric_family", "unit", r6("value"), "edge_flag")
+    return results.long_rows(wide, list(TIDY), "run", "config").select("aoi_id", F.to_date("date").alias("date"), "metric", "metric_family", "unit", r6("value"), "edge_flag")
