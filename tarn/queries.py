@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 
 from .functions import month_start
 from .operators import clustering, composite, connectivity, dynamics, extent, legacy, patches, persistence, spatial
-from .plans import results
+from .plans import engine, results
+from .plans.config import configured
 from .plans.metrics import METRICS as METRIC_SPECS
-from .session import written
+from .session import shared_dir, written
 from .sources import cubes
 
 CELL_M2, THRESHOLD_M = 900.0, 10.0
@@ -604,3 +605,47 @@ TIDY = ("number_of_pools", "lpi", "awmsi", "awre", "mesh")
 def tidy_metrics_table(spark, d):
     wide = _patch_metrics(spark, d).withColumnRenamed("month", "date")
     return results.long_rows(wide, list(TIDY), "run", "config").select("aoi_id", F.to_date("date").alias("date"), "metric", "metric_family", "unit", r6("value"), "edge_flag")
+
+
+# The engine ---------------------------------------------------------------------------------------------------------
+
+RUN = {
+    "config_schema_version": "1.2.0", "temporal": {"input_cadence": "submonthly", "monthly_composite": "mode", "composite_owner": "caller"},
+    "metric_profiles": ["contracts_core", "pixel_temporal", "channel", "connectivity"], "persistence": {"refuge_threshold": 0.5},
+}
+_SURF = STRATIFIED.removeprefix(MONTHLY)
+_COVER = """cov AS (SELECT aoi_id, month, count(*) FILTER (WHERE water) AS n_water, count(*) FILTER (WHERE valid) AS n_valid, max(n_pixels) AS n_pixels FROM prod JOIN areas USING (aoi_id) GROUP BY ALL)"""
+ANALYZED = (
+    f"{PATCHES}{_SURF}, {METRICS}, {_COVER}, long AS ("
+    + " UNION ALL ".join(f"SELECT aoi_id, month AS date, '{m}' AS metric, NULL AS statistic, CAST({m} AS DOUBLE) AS value, edge_flag FROM pm" for m in ("number_of_pools", "lpi", "awre", "awmsi"))
+    + """ UNION ALL SELECT aoi_id, month, 'apsec', NULL, n_water * 100.0 / n_pixels, NULL FROM cov
+  UNION ALL SELECT aoi_id, NULL, 'occurrence', 'mean', avg(occurrence), NULL FROM surf GROUP BY aoi_id
+  UNION ALL SELECT aoi_id, NULL, 'refuge_area', NULL, count(*) FILTER (WHERE occurrence >= 50 AND valid_count >= 20) * 900.0 / 1e6, NULL FROM surf GROUP BY aoi_id
+  UNION ALL SELECT aoi_id, NULL, 'recurrence', 'mean', avg(value), NULL FROM strat GROUP BY aoi_id
+  UNION ALL SELECT aoi_id, make_date(year, 1, 1), 'hydroperiod', 'mean', avg(hydroperiod), NULL FROM hydro GROUP BY aoi_id, year),
+tidy AS (SELECT l.aoi_id, l.date, l.metric, l.statistic, round(l.value, 9) AS value, l.edge_flag, CASE WHEN l.metric = 'hydroperiod' THEN NULL ELSE n_valid * 1.0 / n_pixels < 0.7 END AS low_coverage_flag
+  FROM long l LEFT JOIN cov c ON c.aoi_id = l.aoi_id AND c.month = l.date)"""
+)
+
+
+# values have nine digits here, as means over 64 pixels fall on ties of the seventh
+def _analyzed(spark, d) -> engine.Result:
+    return engine.analyze(cubes.Cube(obs(spark, d)), RUN)
+
+
+@query(f"{ANALYZED} SELECT * FROM tidy")
+def analyze_standard(spark, d):
+    return _analyzed(spark, d).rows.select("aoi_id", F.to_date("date").alias("date"), "metric", "statistic", F.round("value", 9).alias("value"), "edge_flag", "low_coverage_flag")
+
+
+@query("SELECT * FROM (VALUES ('inter_pool_gap', 'needs channel'), ('lpsec', 'needs channel'), ('realised_connectivity', 'needs fixed_nodes, graph'), ('tcf', 'needs fixed_nodes, graph')) AS t(metric, reason)")
+def profile_skips(spark, d):
+    report = engine.validate(cubes.Cube(obs(spark, d)), configured(RUN))
+    return spark.createDataFrame(sorted(report.skipped.items()), "metric string, reason string")
+
+
+@query(f"{ANALYZED} SELECT aoi_id, metric, CAST(count(*) AS BIGINT) AS n, CAST(count(value) AS BIGINT) AS n_values FROM tidy GROUP BY ALL")
+def bundle_round_trip(spark, d):
+    path = shared_dir(spark)
+    engine.write_bundle(_analyzed(spark, d), path)
+    return engine.read_bundle(spark, path)[0].groupBy("aoi_id", "metric").agg(F.count("*").alias("n"), F.count("value").alias("n_values"))
