@@ -71,3 +71,23 @@ def test_every_profile_runs_over_days(spark):
     found = {r.metric for r in results.checked(made.rows).select("metric").distinct().collect()}
     assert found >= {"occurrence", "refuge_area", "apsec", "number_of_pools", "lpi", "awmsi", "extent_contraction", "reconnection_timing", "refuge_spatial_stability", "recurrence", "hydroperiod", "pool_width"}
     assert "awre" not in found and "awre" not in made.report.made
+
+
+def test_channel_and_network(spark):
+    """One month of a channel wet, dry, dry, wet, and two reaches of which both are active in January and one in February."""
+    from datetime import date
+
+    jan, feb = date(2020, 1, 1), date(2020, 2, 1)
+    rows = [("a", datetime(2020, m, 1), 0, x, x == 0, True) for m in (1, 2) for x in range(2)]
+    profile = spark.createDataFrame([(jan, k, k in (0, 3), 500.0) for k in range(4)], "month date, seg_ix long, wet boolean, length_m double")
+    reaches = spark.createDataFrame([(1, 10, 11, 0, 5.0), (2, 11, 12, 1, 5.0)], "hydro_id long, from_node long, to_node long, ix long, length_m double")
+    nodes = spark.createDataFrame([(jan, 1, True, True), (jan, 2, True, True), (feb, 1, True, True), (feb, 2, False, True)], "month date, node long, active boolean, valid boolean")
+    inputs = engine.Inputs("a", profile, reaches, nodes)
+    made = engine.analyze(cube(spark, rows), RAW | {"metric_profiles": ["channel", "connectivity"]}, inputs)
+    got = {(r.metric, r.statistic, r.date.month if r.date else r.window_id): r for r in results.checked(made.rows).collect()}
+    assert not made.report.skipped and got["lpsec", None, 1].value == 50 and got["lpsec", None, 1].zone == "1"
+    assert got["inter_pool_gap", "mean", 1].value == 1 and got["inter_pool_gap", "mean", 1].unit == "km"
+    assert got["realised_connectivity", None, 1].value == 1 and got["realised_connectivity", None, 2].value == 0
+    assert got["tcf", None, "1"].value == 100 and got["tcf", None, "2"].value == 50
+    with pytest.raises(InputError, match="area's id"):
+        engine.analyze(cube(spark, rows), RAW, engine.Inputs(profile=profile))
