@@ -628,7 +628,7 @@ tidy AS (SELECT l.aoi_id, l.date, l.metric, l.statistic, round(l.value, 9) AS va
 )
 
 
-# values have nine digits here, as means over 64 pixels fall on ties of the seventh
+# nine digits, as means over 64 pixels can fall on ties of the seventh
 def _analyzed(spark, d) -> engine.Result:
     return engine.analyze(cubes.Cube(obs(spark, d)), RUN)
 
