@@ -6,13 +6,19 @@ with few; calendar months without a valid one drop out.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import ratio
 
 PIXEL = ("aoi_id", "y", "x")
 LEAST_VALID, REFUGE = 20, 0.90
+#: Digits of a percentage that thresholds look at: those beyond depend on the order in which a mean was summed.
+DIGITS = 9
+
+
+def _is_refuge(share: float) -> Column:
+    return F.round("occurrence", DIGITS) >= 100 * share
 
 
 def _stratified(product: DataFrame, every: bool = False) -> DataFrame:
@@ -30,13 +36,13 @@ def occurrence(product: DataFrame, least_valid: int = LEAST_VALID) -> DataFrame:
 
 def refuge_area(surface: DataFrame, cell_m2: float, share: float = REFUGE, least_valid: int = LEAST_VALID) -> DataFrame:
     """aoi_id, refuge_km2 of an occurrence surface."""
-    refuge = (F.col("occurrence") >= 100 * share) & (F.col("valid_count") >= least_valid)
+    refuge = _is_refuge(share) & (F.col("valid_count") >= least_valid)
     return surface.groupBy("aoi_id").agg((F.count_if(refuge) * F.lit(cell_m2) / 1e6).alias("refuge_km2"))
 
 
 def refuge_mask(surface: DataFrame, share: float = REFUGE) -> DataFrame:
     """aoi_id, y, x, occurrence, valid_count, refuge of an occurrence surface."""
-    return surface.withColumn("refuge", F.coalesce(F.col("occurrence") >= 100 * share, F.lit(False)))
+    return surface.withColumn("refuge", F.coalesce(_is_refuge(share), F.lit(False)))
 
 
 def recurrence(product: DataFrame) -> DataFrame:
