@@ -59,6 +59,20 @@ def test_groups_nulls_and_repeats(spark):
     assert packing.pack(packing.pieces(rows.limit(0), JSON), 0).collect() == []
 
 
+def test_long_documents_and_one_hot_id(spark):
+    rows = spark.createDataFrame([(7 if i % 3 == 0 else i, "word " * (5000 if i == 1 else 20 + i % 50)) for i in range(300)], "doc_id long, text string")
+    got = packing.pack(packing.pieces(rows, JSON, capacity=64), 300, capacity=64, group=50).collect()
+    checked(got, 64)
+    assert sum(r.length for r in got) == packing.pieces(rows, JSON, capacity=64).agg({"length": "sum"}).first()[0]
+    assert len([r for r in got if r.doc_id == 1]) > 70
+    by = {}
+    for r in got:
+        if r.length < 64:
+            by[r.sequence_id >> 40] = by.get(r.sequence_id >> 40, 0) + 1
+    assert len(by) == 6 and max(by.values()) < 90
+    assert all(r.offset == 0 and r.sequence_id < 0 for r in got if r.length == 64)
+
+
 def test_each_choice_makes_the_sum_of_squares_smallest():
     rng = np.random.default_rng(1)
     items = rng.integers(1, 21, 300).tolist()
