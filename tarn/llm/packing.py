@@ -164,11 +164,11 @@ def sequences(packed: DataFrame) -> DataFrame:
 
 
 def op6_sum_of_squares_packing(spark, sf_dir: str) -> DataFrame:
-    """All documents in sequences of 1024 tokens."""
+    """All documents in sequences of 1024 tokens. The rank file has the same vocabulary as the .json and gives the same ids in less than half the time."""
     import public_tokenizers
 
     docs = documents(spark, sf_dir)
-    return pack(pieces(docs, public_tokenizers.path("byte_bpe_50k.json")), docs.count())
+    return pack(pieces(docs, public_tokenizers.path("byte_bpe_50k.tiktoken")), docs.count())
 
 
 QUERIES = {"op6_sum_of_squares_packing": op6_sum_of_squares_packing}
