@@ -5,7 +5,7 @@ from datetime import date
 
 import numpy as np
 
-from tarn.operators import dynamics, patches
+from tarn.operators import dynamics, patches, persistence
 
 
 def test_depths_of_columns():
@@ -73,3 +73,9 @@ def test_reconnection_prefers_rc_and_never_falls_through(spark):
     assert first(rc=never, lpsec=early, lpi=later) == ("rc", None, False)
     assert first(lpsec=early, lpi=later) == ("lpsec", 2, True)
     assert first(lpi=later) == ("lpi", 4, True)
+
+
+def test_refuge_at_the_threshold(spark):
+    surface = spark.createDataFrame([("a", 0, 0, 50 - 1e-12, 20), ("a", 0, 1, 49.99, 20), ("a", 0, 2, 50.0, 19), ("a", 0, 3, None, 30)], "aoi_id string, y int, x int, occurrence double, valid_count long")
+    assert persistence.refuge_area(surface, 1e6, share=0.5).first()["refuge_km2"] == 1.0
+    assert [r.refuge for r in persistence.refuge_mask(surface, 0.5).orderBy("x").collect()] == [True, False, True, False]
