@@ -30,6 +30,7 @@ SCIENTIFIC: dict[str, Any] = {
     "zones": {"t_persist": 0.50, "t_season": 0.10},
     "temporal": {"input_cadence": None, "monthly_composite": None, "composite_owner": None},
     "dynamics": {"composite_sensitivity_tolerance_pp": 10.0, "contraction_method": "linear", "minimum_points": 3},
+    # the detector's name is part of the hash of results; the one that runs is operators.dynamics.anchors
     "hydroyear": {
         "algorithm": "hydroseason.detect_hydrological_years",
         "parameters": {"wet_start_month": 11, "wet_end_month": 4, "dry_start_month": 7, "dry_end_month": 12, "min_wet_months": 2, "min_dry_months": 2, "low_confidence_ratio": 0.25, "medium_confidence_ratio": 0.5},
@@ -57,7 +58,6 @@ CHOICES: dict[str, tuple] = {
     "spatial.windowing.mode": ("none", "channel_length", "regular_grid"),
     "patches.connectivity_rule": (4, 8),
     "temporal.monthly_composite": ("max_water", "median", "mode", "end_of_month_nearest", "supplied"),
-    "temporal.composite_owner": ("hydrofragments", "upstream", "caller"),
     "dynamics.contraction_method": ("linear", "theil_sen"),
     "state.connectivity_metric": (None, "RC", "LPSEC", "LPI", "DCI"),
     "compute.accelerator": ("none", "auto", "cuda"),
@@ -144,26 +144,26 @@ def configured(raw: Mapping) -> Config:
             raise ConfigError(f"{path} is required")
     for path, allowed in CHOICES.items():
         if config[path] not in allowed:
-            raise ConfigError(f"{path} has unsupported value: {config[path]}")
+            raise ConfigError(f"{path} can't be {config[path]!r}; choose from {allowed}")
     for path in FRACTIONS:
         if config[path] is not None and not 0 <= config[path] <= 1:
-            raise ConfigError(f"{path} must be between 0 and 1")
+            raise ConfigError(f"{path} is no fraction")
     for path, least in LEAST.items():
         if config[path] < least:
-            raise ConfigError(f"{path} must be at least {least}")
+            raise ConfigError(f"{path} is below {least}")
     floor, windows, state = config["patches.width_resolution_floor_pixels"], config["spatial.windowing"], config["state"]
     if floor is not None and not (math.isfinite(floor) and floor > 0):
-        raise ConfigError("patches.width_resolution_floor_pixels must be positive and finite")
+        raise ConfigError("the floor of widths is no positive finite number")
     if windows["mode"] == "channel_length" and windows["length_m"] is None:
         windows["length_m"] = 5000.0
     if config["zones.t_season"] >= config["zones.t_persist"]:
-        raise ConfigError("zones.t_season must be less than zones.t_persist")
+        raise ConfigError("the seasonal limit of zones lies above the persistent one")
     if config["input.kind"] == "generic_probability" and None in (config["input.water_threshold"], config["input.threshold_method"], config["input.probability_source"]):
         raise ConfigError("input: probabilities need water_threshold, threshold_method and probability_source")
     if state["enabled"] and None in (state["connectivity_metric"], state["connectivity_threshold"]):
-        raise ConfigError("state.enabled requires state.connectivity_metric and state.connectivity_threshold")
+        raise ConfigError("a state needs a connectivity_metric and a connectivity_threshold")
     if config["compute.cuda_strict"] and config["compute.accelerator"] != "cuda":
-        raise ConfigError("compute.cuda_strict requires accelerator cuda")
+        raise ConfigError("cuda_strict is for the accelerator cuda only")
     if not config["metric_profiles"]:
-        raise ConfigError("metric_profiles must not be empty")
+        raise ConfigError("at least one metric profile is needed")
     return config

@@ -50,7 +50,7 @@ COUNTS = (
     + """,
 cnt AS (
   SELECT aoi_id, CAST(date_trunc('month', ts) AS DATE) AS month, y, x, count(*) FILTER (WHERE valid) AS v, count(*) FILTER (WHERE water) AS w,
-         coalesce(max(CASE WHEN valid THEN epoch_us(ts) * 2 + CAST(water AS INTEGER) END), 0) % 2 = 1 AS last_wet
+         coalesce(arg_max(water, {'ts': ts, 'water': water}) FILTER (WHERE valid), false) AS last_wet
   FROM obs GROUP BY ALL)"""
 )
 RULES = {"max_water": "w > 0", "median": "2 * w >= v AND v > 0", "mode": "2 * w > v", "end_of_month_nearest": "last_wet"}
@@ -196,7 +196,7 @@ def occurrence_pixel(spark, d):
     return persistence.occurrence(product(spark, d)).select("aoi_id", "y", "x", r6("occurrence"), "valid_count")
 
 
-@query(f"WITH {STRATIFIED} SELECT aoi_id, round(count(*) FILTER (WHERE occurrence >= 50 AND valid_count >= 20) * 900.0 / 1e6, 6) AS refuge_km2 FROM surf GROUP BY aoi_id")
+@query(f"WITH {STRATIFIED} SELECT aoi_id, round(count(*) FILTER (WHERE round(occurrence, 9) >= 50 AND valid_count >= 20) * 900.0 / 1e6, 6) AS refuge_km2 FROM surf GROUP BY aoi_id")
 def refuge_area(spark, d):
     return persistence.refuge_area(persistence.occurrence(product(spark, d)), CELL_M2, share=0.5).select("aoi_id", r6("refuge_km2"))
 
@@ -620,7 +620,7 @@ ANALYZED = (
     + " UNION ALL ".join(f"SELECT aoi_id, month AS date, '{m}' AS metric, NULL AS statistic, CAST({m} AS DOUBLE) AS value, edge_flag FROM pm" for m in ("number_of_pools", "lpi", "awre", "awmsi"))
     + """ UNION ALL SELECT aoi_id, month, 'apsec', NULL, n_water * 100.0 / n_pixels, NULL FROM cov
   UNION ALL SELECT aoi_id, NULL, 'occurrence', 'mean', avg(occurrence), NULL FROM surf GROUP BY aoi_id
-  UNION ALL SELECT aoi_id, NULL, 'refuge_area', NULL, count(*) FILTER (WHERE occurrence >= 50 AND valid_count >= 20) * 900.0 / 1e6, NULL FROM surf GROUP BY aoi_id
+  UNION ALL SELECT aoi_id, NULL, 'refuge_area', NULL, count(*) FILTER (WHERE round(occurrence, 9) >= 50 AND valid_count >= 20) * 900.0 / 1e6, NULL FROM surf GROUP BY aoi_id
   UNION ALL SELECT aoi_id, NULL, 'recurrence', 'mean', avg(value), NULL FROM strat GROUP BY aoi_id
   UNION ALL SELECT aoi_id, make_date(year, 1, 1), 'hydroperiod', 'mean', avg(hydroperiod), NULL FROM hydro GROUP BY aoi_id, year),
 tidy AS (SELECT l.aoi_id, l.date, l.metric, l.statistic, round(l.value, 9) AS value, l.edge_flag, CASE WHEN l.metric = 'hydroperiod' THEN NULL ELSE n_valid * 1.0 / n_pixels < 0.7 END AS low_coverage_flag

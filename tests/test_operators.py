@@ -79,3 +79,15 @@ def test_refuge_at_the_threshold(spark):
     surface = spark.createDataFrame([("a", 0, 0, 50 - 1e-12, 20), ("a", 0, 1, 49.99, 20), ("a", 0, 2, 50.0, 19), ("a", 0, 3, None, 30)], "aoi_id string, y int, x int, occurrence double, valid_count long")
     assert persistence.refuge_area(surface, 1e6, share=0.5).first()["refuge_km2"] == 1.0
     assert [r.refuge for r in persistence.refuge_mask(surface, 0.5).orderBy("x").collect()] == [True, False, True, False]
+
+
+def test_last_valid_before_and_after_1970(spark):
+    from datetime import datetime
+
+    from tarn.operators import composite
+
+    at = lambda year, day, water, valid=True: ("a", datetime(year, 3, day), 0, 0, water, valid)
+    rows = [at(y, *r) for y in (1969, 1971) for r in ((1, False), (9, True), (20, False, False))] + [at(1965, 1, True), at(1965, 2, False)]
+    cells = spark.createDataFrame(rows, "aoi_id string, ts timestamp, y int, x int, water boolean, valid boolean")
+    got = {r.month.year: r.water for r in composite.monthly(cells, "end_of_month_nearest").collect()}
+    assert got == {1965: False, 1969: True, 1971: True}
