@@ -147,23 +147,23 @@ def configured(raw: Mapping) -> Config:
             raise ConfigError(f"{path} can't be {config[path]!r}; choose from {allowed}")
     for path in FRACTIONS:
         if config[path] is not None and not 0 <= config[path] <= 1:
-            raise ConfigError(f"{path} is no fraction")
+            raise ConfigError(f"{path} does not lie between 0 and 1")
     for path, least in LEAST.items():
         if config[path] < least:
-            raise ConfigError(f"{path} is below {least}")
+            raise ConfigError(f"{path} takes numbers of at least {least}")
     floor, windows, state = config["patches.width_resolution_floor_pixels"], config["spatial.windowing"], config["state"]
     if floor is not None and not (math.isfinite(floor) and floor > 0):
         raise ConfigError("the floor of widths is no positive finite number")
     if windows["mode"] == "channel_length" and windows["length_m"] is None:
         windows["length_m"] = 5000.0
     if config["zones.t_season"] >= config["zones.t_persist"]:
-        raise ConfigError("the seasonal limit of zones lies above the persistent one")
+        raise ConfigError("zones.t_season lies at or above zones.t_persist")
     if config["input.kind"] == "generic_probability" and None in (config["input.water_threshold"], config["input.threshold_method"], config["input.probability_source"]):
         raise ConfigError("input: probabilities need water_threshold, threshold_method and probability_source")
     if state["enabled"] and None in (state["connectivity_metric"], state["connectivity_threshold"]):
-        raise ConfigError("a state needs a connectivity_metric and a connectivity_threshold")
+        raise ConfigError("state.enabled needs a connectivity_metric and a connectivity_threshold")
     if config["compute.cuda_strict"] and config["compute.accelerator"] != "cuda":
         raise ConfigError("cuda_strict is for the accelerator cuda only")
     if not config["metric_profiles"]:
-        raise ConfigError("at least one metric profile is needed")
+        raise ConfigError("metric_profiles is empty")
     return config
