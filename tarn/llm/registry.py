@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 
 #: Modules that hold QUERIES and SQL.
-MODULES = ("secrets", "bpe", "media", "jaccard", "packing", "token_counts", "chat", "language", "suffixes", "quality", "manifest", "search")
+MODULES = ("secrets", "bpe", "media", "jaccard", "packing", "token_counts", "chat", "language", "suffixes", "quality", "manifest", "search", "licenses")
 
 
 def _all(what: str) -> dict:
