@@ -24,6 +24,8 @@ KEY = ("aoi_id", "month", "label")
 LEAST_PIXELS = 3
 #: Pixels so deep are found by comparing neighbours in numpy; columns with deeper ones by the lower envelope of parabolas.
 NEAR = 32
+#: More than any distance in pixels.
+FAR = 1 << 20
 
 
 def properties(labelled: DataFrame, resolution_m: float = 30.0) -> DataFrame:
@@ -57,11 +59,11 @@ def column_depths(g: np.ndarray, start: np.ndarray) -> np.ndarray:
     stop = np.append(start[1:], len(g)) - 1
     for j in np.unique(np.searchsorted(start, on - np.searchsorted(at[start], on, "right"), "right") - 1) if len(on) else ():
         first, last = at[start[j]] - 1, at[stop[j]] + 1
-        best[first : last + 1] = _envelope(square[first : last + 1].tolist())
+        best[first : last + 1] = envelope(square[first : last + 1].tolist())
     return best[at]
 
 
-def _envelope(f: list[int]) -> list[int]:
+def envelope(f: list[int]) -> list[int]:
     """min over q of f[q] + (p - q)^2 for each p, by the lower envelope of the parabolas."""
     roots, edges = [0], [float("-inf"), float("inf")]
     for q in range(1, len(f)):
@@ -78,6 +80,23 @@ def _envelope(f: list[int]) -> list[int]:
     return out
 
 
+def whole_columns(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Rows sorted by `column` in tables that cut none."""
+    held = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        part = pa.Table.from_batches([batch])
+        held = pa.concat_tables([held, part]) if held is not None else part
+        column = held.column("column").to_numpy()
+        at = len(column) - int(np.argmax(column[::-1] != column[-1])) if (column != column[-1]).any() else 0
+        if at:  # the last column may go on
+            yield held.slice(0, at)
+            held = held.slice(at)
+    if held is not None:
+        yield held
+
+
 def widths(labelled: DataFrame, resolution_m: float = 30.0) -> DataFrame:
     """aoi_id, month, label, width_pixels, width_m."""
     rows = labelled.select(*KEY, "y", "x0", "x1", F.explode(F.sequence("x0", "x1")).alias("x"))
@@ -93,25 +112,42 @@ def widths(labelled: DataFrame, resolution_m: float = 30.0) -> DataFrame:
         yield from part.select(list(KEY)).take(pa.array(np.flatnonzero(new))).append_column("d2", pa.array(most)).select(names).to_batches()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            part = pa.Table.from_batches([batch])
-            held = pa.concat_tables([held, part]) if held is not None else part
-            column = held.column("column").to_numpy()
-            at = len(column) - int(np.argmax(column[::-1] != column[-1])) if (column != column[-1]).any() else 0
-            if at:  # the last column may go on
-                yield from deepest(held.slice(0, at))
-                held = held.slice(at)
-        if held is not None:
-            yield from deepest(held)
+        for part in whole_columns(batches):
+            yield from deepest(part)
 
     depth = rows.repartition(*KEY, "x").sortWithinPartitions(*KEY, "x", "y").mapInArrow(run, schema)
     wide = depth.groupBy(*KEY).agg((2 * F.sqrt(F.max("d2").cast("double"))).alias("width_pixels"))
     return wide.withColumn("width_m", F.col("width_pixels") * resolution_m)
 
 
+def depth_field(labelled: DataFrame, extent: DataFrame | None = None) -> DataFrame:
+    """aoi_id, month, label, y, x, d2: squared distance in pixels of each pixel to the nearest one outside its patch.
+
+    extent (aoi_id, ya, xa, yb, xb): boxes beyond which nothing counts as outside; d2 is null where nothing does.
+    """
+    box = labelled if extent is None else labelled.join(extent, "aoi_id")
+    edge = lambda c, at: (F.col(c) == F.col(at)) if extent is not None else F.lit(False)
+    rows = box.select(*KEY, "y", "x0", "x1", edge("y", "ya" if extent is not None else "y").alias("above"), edge("y", "yb" if extent is not None else "y").alias("below"), edge("x0", "xa" if extent is not None else "x0").alias("west"), edge("x1", "xb" if extent is not None else "x1").alias("east"), F.explode(F.sequence("x0", "x1")).alias("x"))
+    side = F.least(F.when(F.col("west"), FAR).otherwise(F.col("x") - F.col("x0") + 1), F.when(F.col("east"), FAR).otherwise(F.col("x1") - F.col("x") + 1))
+    rows = rows.select(*KEY, F.xxhash64(*KEY, "x").alias("column"), F.col("y").cast("long").alias("y"), F.col("x").cast("long").alias("x"), side.cast("long").alias("g"), "above", "below")
+    schema = T.StructType([*[rows.schema[c] for c in (*KEY, "y", "x")], T.StructField("d2", T.LongType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in whole_columns(batches):
+            column, y, g, above, below = (part.column(c).to_numpy() for c in ("column", "y", "g", "above", "below"))
+            start = np.flatnonzero(np.append(True, column[1:] != column[:-1]) | np.append(True, y[1:] != y[:-1] + 1))
+            stop = np.append(start[1:], len(g))
+            deep = column_depths(np.minimum(g, FAR), start)
+            for a, b in zip(start.tolist(), stop.tolist(), strict=True):
+                if above[a] or below[b - 1]:  # nothing is outside at this end
+                    ends = [FAR * FAR if above[a] else 0, *(g[a:b] * g[a:b]).tolist(), FAR * FAR if below[b - 1] else 0]
+                    deep[a:b] = envelope(ends)[1:-1]
+            known = pa.array(deep, pa.int64(), mask=deep >= FAR * FAR // 4)
+            yield from part.select([*KEY, "y", "x"]).append_column("d2", known).to_batches()
+
+    return rows.repartition(*KEY, "x").sortWithinPartitions(*KEY, "x", "y").mapInArrow(run, schema)
+
+
 def patches(product: DataFrame, connectivity: int = 8, least_pixels: int = LEAST_PIXELS) -> DataFrame:
     """Labelled runs of a monthly product's observed water, as a written table, as properties read them several times."""
     return written(label(product.where(F.col("water") & F.col("valid")), connectivity, least_pixels))
