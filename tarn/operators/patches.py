@@ -181,3 +181,21 @@ def mesh_gate(metrics: DataFrame, most: float = 0.9) -> DataFrame:
     out = pair.agg(F.count("*").alias("n"), (F.max("lpi") - F.min("lpi")).alias("dx"), (F.max("mesh") - F.min("mesh")).alias("dy"), F.try_divide(F.covar_pop("lpi", "mesh"), F.stddev_pop("lpi") * F.stddev_pop("mesh")).alias("r"))
     fit = (F.col("n") >= 3) & (F.col("dx") > 0) & (F.col("dy") > 0)
     return out.select("aoi_id", "n", F.when(fit, F.col("r")).alias("r"), F.coalesce(fit & (F.col("r") <= most), F.lit(False)).alias("enabled"))
+
+
+def crofton(labelled: DataFrame, resolution_m: float = 30.0) -> DataFrame:
+    """aoi_id, month, label, perimeter_m by Crofton's formula in four directions.
+
+    Each place where four pixels meet has a pattern of those that belong to the patch. Along rows and columns an edge is
+    met where one of two neighbours belongs to it, along a diagonal where one of two opposite pixels does; half of the
+    meetings count, as lines come in and go out, and diagonals are closer together by the root of two.
+    """
+    corners = F.array(*[F.struct(F.lit(dy).alias("dy"), F.lit(dx).alias("dx"), F.lit(bit).alias("bit")) for dy, dx, bit in ((0, 0, 1), (1, 0, 2), (0, 1, 4), (1, 1, 8))])
+    each = pixels(labelled).select(*KEY, "y", "x", F.explode(corners).alias("c"))
+    pattern = each.groupBy(*KEY, (F.col("y") + F.col("c.dy")).alias("y"), (F.col("x") + F.col("c.dx")).alias("x")).agg(F.sum("c.bit").alias("bits"))
+    has = {k: F.col("bits").bitwiseAND(bit) > 0 for k, bit in (("here", 1), ("north", 2), ("west", 4), ("northwest", 8))}
+    met = lambda a, b: (has[a] != has[b]).cast("int")
+    straight = met("here", "north") + met("here", "west")
+    slanted = met("here", "northwest") + met("north", "west")
+    sums = pattern.groupBy(*KEY).agg(F.sum(straight).alias("straight"), F.sum(slanted).alias("slanted"))
+    return sums.select(*KEY, (F.pi() / 8 * (F.col("straight") + F.col("slanted") / F.sqrt(F.lit(2.0))) * resolution_m).alias("perimeter_m"))

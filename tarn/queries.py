@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .functions import month_start
-from .operators import clustering, composite, connectivity, dynamics, extent, legacy, patches, persistence, spatial
+from .operators import clustering, composite, connectivity, dynamics, extent, legacy, patches, persistence, skeletons, spatial
 from .plans import engine, results
 from .plans.config import configured
 from .plans.metrics import METRICS as METRIC_SPECS
@@ -287,6 +287,111 @@ def pool_width_monthly(spark, d):
     return out.select("aoi_id", "month", "n_pools", "suppressed_pools", r6("width_mean"), r6("width_median"), r6("width_max"), r6("width_cv"))
 
 
+# Skeletons ----------------------------------------------------------------------------------------------------------
+
+
+def _half_step(bits: str, east_south_west: bool) -> str:
+    """One half of a thinning step of a padded grid of 10 by 10 as a list, in SQL."""
+    p = [f"{bits}[i + 1 + {k}]" for k in (-10, -9, 1, 11, 10, 9, -1, -11)]
+    n, e, s, w = p[0], p[2], p[4], p[6]
+    sides = f"{n} * {e} * {s} = 0 AND {e} * {s} * {w} = 0" if east_south_west else f"{n} * {e} * {w} = 0 AND {n} * {s} * {w} = 0"
+    rises = " + ".join(f"(1 - {a}) * {b}" for a, b in zip(p, p[1:] + p[:1], strict=True))
+    return f"list_transform(range(0, 100), lambda i: CASE WHEN {bits}[i + 1] = 1 AND {' + '.join(p)} BETWEEN 2 AND 6 AND {rises} = 1 AND {sides} THEN 0 ELSE {bits}[i + 1] END)"
+
+
+NEXT_TO = "{b}.aoi_id = {a}.aoi_id AND {b}.month = {a}.month AND {b}.label = {a}.label AND abs({b}.y - {a}.y) <= 1 AND abs({b}.x - {a}.x) <= 1"
+SKELETON = f"""masks AS (SELECT aoi_id, month, list((y + 1) * 10 + x + 1) AS held FROM px GROUP BY ALL),
+thin AS (SELECT aoi_id, month, list_transform(range(0, 100), lambda i: CAST(list_contains(held, i) AS INTEGER)) AS b, false AS done FROM masks
+  UNION ALL SELECT aoi_id, month, c, c = b FROM (SELECT aoi_id, month, b, {_half_step('h', False)} AS c FROM (SELECT aoi_id, month, b, {_half_step('b', True)} AS h FROM thin WHERE NOT done))),
+kept AS (SELECT aoi_id, month, unnest(list_filter(range(0, 100), lambda i: b[i + 1] = 1)) AS i FROM thin WHERE done),
+skel AS (SELECT px.* FROM px JOIN kept k ON k.aoi_id = px.aoi_id AND k.month = px.month AND k.i = (px.y + 1) * 10 + px.x + 1)"""
+
+
+def _hops_sql(name: str, seeds: str) -> str:
+    return f"""{name}_all AS (SELECT aoi_id, month, label, y, x, 0 AS d FROM {seeds} UNION SELECT b.aoi_id, b.month, b.label, b.y, b.x, a.d + 1 FROM {name}_all a JOIN skel b ON {NEXT_TO.format(a='a', b='b')} WHERE a.d < 64),
+{name} AS (SELECT aoi_id, month, label, y, x, min(d) AS d FROM {name}_all GROUP BY ALL),
+{name}_far AS (SELECT aoi_id, month, label, y, x, d FROM (SELECT *, row_number() OVER (PARTITION BY aoi_id, month, label ORDER BY d DESC, y, x) AS r FROM {name}) WHERE r = 1)"""
+
+
+PATHS = f"""{SKELETON},
+busy AS (SELECT a.aoi_id, a.month, a.label, a.y, a.x, count(*) AS n FROM skel a JOIN skel b ON {NEXT_TO.format(a='a', b='b')} GROUP BY ALL),
+begin_at AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY aoi_id, month, label ORDER BY n DESC, y, x) AS r FROM busy) WHERE r = 1),
+{_hops_sql('once', 'begin_at')}, {_hops_sql('dist', 'once_far')},
+back AS (SELECT * FROM (SELECT a.*, b.y AS py, b.x AS px, row_number() OVER (PARTITION BY a.aoi_id, a.month, a.label, a.y, a.x ORDER BY b.y, b.x) AS r FROM dist a JOIN dist b ON {NEXT_TO.format(a='a', b='b')} AND b.d = a.d - 1) WHERE r = 1),
+way AS (SELECT aoi_id, month, label, d AS k, y, x FROM dist_far UNION ALL SELECT w.aoi_id, w.month, w.label, w.k - 1, b.py, b.px FROM way w JOIN back b ON b.aoi_id = w.aoi_id AND b.month = w.month AND b.label = w.label AND b.y = w.y AND b.x = w.x),
+steps AS (SELECT a.*, b.y AS ny, b.x AS nx FROM way a LEFT JOIN way b ON b.aoi_id = a.aoi_id AND b.month = a.month AND b.label = a.label AND b.k = a.k + 1),
+lens AS (SELECT aoi_id, month, label, count(*) AS n_pixels, arg_min(y, k) AS y_from, arg_min(x, k) AS x_from, arg_max(y, k) AS y_to, arg_max(x, k) AS x_to,
+  CASE WHEN count(*) = 1 THEN 30.0 ELSE (count(*) FILTER (WHERE ny IS NOT NULL AND (ny = y OR nx = x)) + sqrt(2) * count(*) FILTER (WHERE ny <> y AND nx <> x)) * 30.0 END AS length_m FROM steps GROUP BY ALL)"""
+#: Distances to the nearest pixel of the area that is outside the patch; what lies beyond the area's box is no such pixel.
+WAY_WIDTHS = """box AS (SELECT aoi_id, min(y) AS ya, min(x) AS xa, max(y) AS yb, max(x) AS xb FROM prod GROUP BY aoi_id),
+rim AS (SELECT w.aoi_id, w.month, w.label, w.k, min((g.y - w.y) * (g.y - w.y) + (g.x - w.x) * (g.x - w.x)) AS d2 FROM way w JOIN box USING (aoi_id) JOIN grid g ON g.y BETWEEN ya AND yb AND g.x BETWEEN xa AND xb
+  ANTI JOIN px q ON q.aoi_id = w.aoi_id AND q.month = w.month AND q.label = w.label AND q.y = g.y AND q.x = g.x GROUP BY ALL),
+wwid AS (SELECT w.aoi_id, w.month, w.label, CASE WHEN count(d2) = count(*) THEN 2 * avg(sqrt(d2)) * 30 END AS width_m FROM way w LEFT JOIN rim USING (aoi_id, month, label, k) GROUP BY ALL)"""
+
+
+def _labelled(spark, d: str) -> tuple[DataFrame, DataFrame]:
+    p = written(product(spark, d))
+    return p, patches.patches(p)
+
+
+@query(f"{PATCHES}, {SKELETON} SELECT aoi_id, month, label, CAST(y AS BIGINT) AS y, CAST(x AS BIGINT) AS x FROM skel")
+def skeleton_pixels(spark, d):
+    return skeletons.skeleton(patches.patches(product(spark, d)))
+
+
+@query(f"{PATCHES}, {PATHS} SELECT aoi_id, month, label, CAST(k AS BIGINT) AS k, CAST(y AS BIGINT) AS y, CAST(x AS BIGINT) AS x FROM way")
+def pool_paths(spark, d):
+    return skeletons.longest_paths(skeletons.skeleton(patches.patches(product(spark, d))))
+
+
+@query(f"{PATCHES}, {PATHS} SELECT aoi_id, month, label, CAST(n_pixels AS BIGINT) AS n_pixels, CAST(y_from AS BIGINT) AS y_from, CAST(x_from AS BIGINT) AS x_from, CAST(y_to AS BIGINT) AS y_to, CAST(x_to AS BIGINT) AS x_to, round(CAST(length_m AS DOUBLE), 6) AS length_m FROM lens")
+def pool_lengths(spark, d):
+    paths = skeletons.longest_paths(skeletons.skeleton(patches.patches(product(spark, d))))
+    return skeletons.path_lengths(paths).withColumn("length_m", r6("length_m"))
+
+
+@query(f"""{PATCHES}, {PATHS}, {WAY_WIDTHS} SELECT aoi_id, month, round(CAST(sum(length_m / 1e3 * area_m2) / sum(area_m2) AS DOUBLE), 6) AS legacy_awmpl, round(CAST(sum(width_m / 1e3 * area_m2) / sum(area_m2) FILTER (WHERE width_m IS NOT NULL) AS DOUBLE), 6) AS legacy_awmpw
+FROM prop JOIN lens USING (aoi_id, month, label) JOIN wwid USING (aoi_id, month, label) GROUP BY aoi_id, month""")
+def legacy_awmpw(spark, d):
+    p, labelled = _labelled(spark, d)
+    paths = skeletons.longest_paths(skeletons.skeleton(labelled))
+    box = p.groupBy("aoi_id").agg(F.min("y").alias("ya"), F.min("x").alias("xa"), F.max("y").alias("yb"), F.max("x").alias("xb"))
+    out = skeletons.weighted(patches.properties(labelled), skeletons.path_lengths(paths), skeletons.path_widths(paths, labelled, box))
+    return out.select("aoi_id", "month", r6("legacy_awmpl"), r6("legacy_awmpw"))
+
+
+#: Published coefficients of the patterns 0 to 15, bit 1 the pixel itself, 2 its northern, 4 its western and 8 its north-western neighbour. Fixed values.
+CROFTON = """coef AS (SELECT * FROM (VALUES (1, pi() / 4 * (1 + 1 / sqrt(2))), (2, pi() / (4 * sqrt(2))), (3, pi() / (2 * sqrt(2))), (5, pi() / 4 * (1 + 1 / sqrt(2))), (7, pi() / (4 * sqrt(2))), (8, pi() / 4), (9, pi() / 2),
+  (10, pi() / (4 * sqrt(2))), (11, pi() / (4 * sqrt(2))), (12, pi() / 4), (13, pi() / 2)) AS t(bits, c)),
+code AS (SELECT aoi_id, month, label, y + dy AS y, x + dx AS x, sum(bit) AS bits FROM px, (VALUES (0, 0, 1), (1, 0, 2), (0, 1, 4), (1, 1, 8)) AS n(dy, dx, bit) GROUP BY ALL)"""
+
+
+@query(f"{PATCHES}, {CROFTON} SELECT aoi_id, month, label, round(coalesce(sum(c), 0) * 30, 6) AS perimeter_m FROM code LEFT JOIN coef USING (bits) GROUP BY aoi_id, month, label")
+def legacy_crofton(spark, d):
+    return patches.crofton(patches.patches(product(spark, d))).select("aoi_id", "month", "label", r6("perimeter_m"))
+
+
+#: A line of three vertices for each nation, in metres, and the skeletons' pixels at most 45 m from it.
+LINES = """line AS (SELECT r_name AS aoi_id, n_nationkey AS hydro_id, CAST(30 * (n_nationkey % 8) AS DOUBLE) AS y0, CAST(0 AS DOUBLE) AS x0, CAST(30 * (n_nationkey * 3 % 8) AS DOUBLE) AS y1, CAST(90 AS DOUBLE) AS x1, CAST(30 * ((n_nationkey * 5 + 2) % 8) AS DOUBLE) AS y2, CAST(210 AS DOUBLE) AS x2 FROM nation JOIN region ON n_regionkey = r_regionkey),
+sg AS (SELECT aoi_id, hydro_id, y0 AS ya, x0 AS xa, y1 AS yb, x1 AS xb FROM line UNION ALL SELECT aoi_id, hydro_id, y1, x1, y2, x2 FROM line),
+pt AS (SELECT DISTINCT aoi_id, CAST(y * 30 AS DOUBLE) AS y, CAST(x * 30 AS DOUBLE) AS x FROM skel),
+al AS (SELECT hydro_id, pt.y, pt.x, ya, xa, yb - ya AS dy, xb - xa AS dx, greatest(0, least(1, ((pt.y - ya) * (yb - ya) + (pt.x - xa) * (xb - xa)) / ((yb - ya) * (yb - ya) + (xb - xa) * (xb - xa)))) AS t FROM sg JOIN pt USING (aoi_id)),
+hit AS (SELECT DISTINCT hydro_id FROM al WHERE sqrt((y - ya - t * dy) * (y - ya - t * dy) + (x - xa - t * dx) * (x - xa - t * dx)) <= 45)"""
+
+
+def reach_lines(spark, d: str) -> DataFrame:
+    """aoi_id, hydro_id, vertices (y, x) in metres."""
+    n = cubes.table(spark, d, "nation").join(cubes.table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    key = F.col("n_nationkey")
+    at = lambda y, x: F.struct((30.0 * y).alias("y"), F.lit(x).alias("x"))
+    return n.select(F.col("r_name").alias("aoi_id"), key.alias("hydro_id"), F.array(at(key % 8, 0.0), at(key * 3 % 8, 90.0), at((key * 5 + 2) % 8, 210.0)).alias("vertices"))
+
+
+@query(f"{PATCHES}, {SKELETON}, {LINES} SELECT hydro_id, hydro_id IN (SELECT hydro_id FROM hit) AS ever_wet FROM line")
+def reach_buffer_wet(spark, d):
+    return spatial.reach_wet_by_skeleton(skeletons.skeleton(patches.patches(product(spark, d))), reach_lines(spark, d), 45.0)
+
+
 # Channels -----------------------------------------------------------------------------------------------------------
 
 CHANNEL = (
