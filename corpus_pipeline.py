@@ -42,7 +42,7 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of 1024 tokens."""
-    return packing.pack(packing.pieces(docs, public_tokenizers.path("byte_bpe_50k.tiktoken")), docs.count())
+    return packing.pack(packing.pieces(docs, public_tokenizers.path("byte_bpe_50k.json")), docs.count())
 
 
 STAGES = [

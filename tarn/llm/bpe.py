@@ -15,7 +15,7 @@ import functools
 import os
 import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -24,8 +24,10 @@ from pyspark.sql import functions as F
 
 from .common import documents, keyed
 
-#: Most words that a worker's table holds before it starts anew.
+#: Words that a worker's table holds, about, before it starts anew; what it held is kept once more for words that come again.
 MEMO = 250_000
+#: Characters of texts whose new words go to the library at once.
+SLICE = 1 << 22
 #: Longer texts are encoded in parts of about so many characters, cut where a word surely starts.
 PART = 400_000
 #: Bytes of ids after which a batch of results is sent on.
@@ -89,25 +91,47 @@ class Encoder:
             self.tokenizer = Tokenizer.from_file(path)
         else:
             self.tokenizer = from_ranks(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        #: Added tokens of the vocabulary, which the library finds in texts wherever they stand.
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.memo: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def library(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _part(self, text: str) -> bytes:
-        if not _PLAIN.fullmatch(text):
-            return self.library([text])[0]
-        words, memo = _WORDS.findall(text), self.memo
-        new = list(set(words).difference(memo))
-        if len(memo) + len(new) > MEMO:
-            memo.clear()
-            new = list(set(words))
-        memo.update(zip(new, self.library(new), strict=True))
-        return b"".join(map(memo.__getitem__, words))
+    def _learn(self, words: set[str]) -> None:
+        """Has all these words in the table: from what it held before, else by one call of the library."""
+        if len(self.memo) > MEMO:
+            self.memo, self.older = {}, self.memo
+        new = words.difference(self.memo)
+        for word in new.intersection(self.older):
+            self.memo[word] = self.older[word]
+        rest = list(new.difference(self.memo))
+        self.memo.update(zip(rest, self.library(rest), strict=True))
+
+    def _split(self, text: str) -> list[list[str] | str]:
+        """Each part's words, or the part itself where only the library knows them."""
+        return [_WORDS.findall(p) if _PLAIN.fullmatch(p) and not any(t in p for t in self.added) else p for p in parts(text)]
+
+    def many(self, texts: Iterable[str]) -> Iterator[bytes]:
+        """The ids of each text; new words of about SLICE characters of texts go to the library at once."""
+        held: list[list[list[str] | str]] = []
+        size = 0
+        for text in texts:
+            held.append(self._split(text))
+            size += len(text)
+            if size >= SLICE:
+                yield from self._ids(held)
+                held, size = [], 0
+        yield from self._ids(held)
+
+    def _ids(self, texts: list[list[list[str] | str]]) -> Iterator[bytes]:
+        self._learn(set().union(*(part for text in texts for part in text if not isinstance(part, str))))
+        for text in texts:
+            yield b"".join(self.library([part])[0] if isinstance(part, str) else b"".join(map(self.memo.__getitem__, part)) for part in text)
 
     def __call__(self, text: str) -> bytes:
-        return b"".join(map(self._part, parts(text)))
+        return next(self.many([text]))
 
 
 class RankEncoder:
@@ -176,12 +200,12 @@ def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode_text = encoder(path)
+        many = encoder(path).many
         for batch in batches:
             keep, ids, starts, held = 0, [], [], 0
             keys = batch.column(0)
             texts = batch.column(1).to_pylist()
-            for k, (text, made) in enumerate(zip(texts, map(encode_text, texts), strict=True)):
+            for k, (text, made) in enumerate(zip(texts, many(texts), strict=True)):
                 ids.append(made)
                 starts.append(token_starts(np.frombuffer(made, "<u4"), text.encode(), path).tobytes())
                 held += 2 * len(made)

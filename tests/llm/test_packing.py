@@ -87,3 +87,18 @@ def test_each_choice_makes_the_sum_of_squares_smallest():
         assert h in options and cost(h) == min(map(cost, options))
         count[h] -= h > 0
         count[h + s] += 1
+
+
+def test_ids_are_those_of_the_library_with_its_added_tokens(spark):
+    rng = np.random.default_rng(6)
+    bits = ["<|endoftext|>", "<|endof", "text|>", " word", "word", "'s", " 12", "\n\n", "  ", "é", "日本", "\t", "|>", "<|endoftext|><|endoftext|>", " x<|endoftext|>y"]
+    texts = ["".join(rng.choice(bits, rng.integers(0, 30))) for _ in range(600)] + ["", "long words " * 90_000 + "<|endoftext|>" + " and more" * 60_000]
+    tokenizer = Tokenizer.from_file(JSON)
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    got = {}
+    for r in packing.pieces(rows, JSON, keep_ids=True).collect():
+        got.setdefault(r.doc_id, []).append((r.piece, bytes(r.ids)))
+    for k, text in enumerate(texts):
+        ids = np.frombuffer(b"".join(p for _, p in sorted(got[k])), "<u4").tolist()
+        assert ids == [*tokenizer.encode(text, add_special_tokens=False).ids, 2]
+    assert any("<|endoftext|>" in t for t in texts)
