@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .functions import month_start
-from .operators import clustering, composite, connectivity, dynamics, extent, legacy, patches, persistence, skeletons, spatial
+from .operators import clustering, composite, connectivity, dynamics, extent, legacy, patches, persistence, polygons, skeletons, spatial
 from .plans import engine, results
 from .plans.config import configured
 from .plans.metrics import METRICS as METRIC_SPECS
@@ -392,6 +392,61 @@ def reach_buffer_wet(spark, d):
     return spatial.reach_wet_by_skeleton(skeletons.skeleton(patches.patches(product(spark, d))), reach_lines(spark, d), 45.0)
 
 
+# Polygons and lines -------------------------------------------------------------------------------------------------
+
+#: A ring for each region through a place for each of its nations, in metres; it may cross itself, and even-odd decides.
+POLYGONS = """vert AS (SELECT r_name AS aoi_id, n_nationkey AS n, 30.0 * (n_nationkey * 7 % 10) - 41.0 AS y, 30.0 * ((n_nationkey * n_nationkey + 3 * n_nationkey) % 11) - 43.0 AS x FROM nation JOIN region ON n_regionkey = r_regionkey),
+edg AS (SELECT aoi_id, CAST(y AS DOUBLE) AS ya, CAST(x AS DOUBLE) AS xa, CAST(coalesce(lead(y) OVER w, first_value(y) OVER w) AS DOUBLE) AS yb, CAST(coalesce(lead(x) OVER w, first_value(x) OVER w) AS DOUBLE) AS xb FROM vert WINDOW w AS (PARTITION BY aoi_id ORDER BY n)),
+msk AS (SELECT g.aoi_id, g.y, g.x FROM (SELECT * FROM (SELECT DISTINCT aoi_id FROM edg), (SELECT yy - 10 AS y FROM range(0, 30) a(yy)), (SELECT xx - 10 AS x FROM range(0, 30) b(xx))) g
+  JOIN edg e ON e.aoi_id = g.aoi_id AND least(ya, yb) <= g.y * 30 AND g.y * 30 < greatest(ya, yb) AND xa + (g.y * 30 - ya) * (xb - xa) / (yb - ya) <= g.x * 30 GROUP BY ALL HAVING count(*) % 2 = 1)"""
+
+
+def region_rings(spark, d: str) -> DataFrame:
+    """aoi_id, ring, vertices (y, x) in metres."""
+    n = cubes.table(spark, d, "nation").join(cubes.table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    key = F.col("n_nationkey")
+    corner = F.struct(key.alias("n"), (30.0 * (key * 7 % 10) - 41.0).alias("y"), (30.0 * ((key * key + 3 * key) % 11) - 43.0).alias("x"))
+    ring = F.transform(F.array_sort(F.collect_list(corner)), lambda p: F.struct(p["y"].alias("y"), p["x"].alias("x")))
+    return n.groupBy(F.col("r_name").alias("aoi_id")).agg(ring.alias("vertices")).withColumn("ring", F.lit(0))
+
+
+@query(f"WITH {POLYGONS} SELECT aoi_id, CAST(y AS BIGINT) AS y, CAST(x AS BIGINT) AS x FROM msk")
+def polygon_mask(spark, d):
+    runs = polygons.rasterized(polygons.ring_edges(region_rings(spark, d), "aoi_id"), "aoi_id")
+    return runs.select("aoi_id", "y", F.explode(F.sequence("x0", "x1")).alias("x"))
+
+
+@query(f"""WITH {MONTHLY}, {POLYGONS}, c AS (SELECT aoi_id, month, count(*) AS n_cells, count(*) FILTER (WHERE water) AS n_water FROM prod SEMI JOIN msk USING (aoi_id, y, x) GROUP BY ALL), k AS (SELECT aoi_id, count(*) AS n FROM msk GROUP BY aoi_id)
+SELECT aoi_id, month, CAST(n_cells AS BIGINT) AS n_cells, CAST(n_water AS BIGINT) AS n_water, round(n * 900.0 / 1e6, 6) AS section_area_km2 FROM c JOIN k USING (aoi_id)""")
+def polygon_sections(spark, d):
+    runs = written(polygons.rasterized(polygons.ring_edges(region_rings(spark, d), "aoi_id"), "aoi_id"))
+    cells = polygons.clipped(product(spark, d), runs, "aoi_id").groupBy("aoi_id", "month").agg(F.count("*").alias("n_cells"), F.count_if("water").alias("n_water"))
+    size = polygons.pixel_counts(runs, "aoi_id").select("aoi_id", (F.col("area_m2") / 1e6).alias("section_area_km2"))
+    return cells.join(size, "aoi_id").select("aoi_id", "month", "n_cells", "n_water", r6("section_area_km2"))
+
+
+@query(f"""WITH {POLYGONS}, {LINES.split(",\npt AS")[0]},
+mt AS (SELECT s.aoi_id, s.hydro_id, s.ya, s.xa, s.yb, s.xb, ((e.ya - s.ya) * (e.xb - e.xa) - (e.xa - s.xa) * (e.yb - e.ya)) / nullif((s.yb - s.ya) * (e.xb - e.xa) - (s.xb - s.xa) * (e.yb - e.ya), 0) AS t,
+  ((e.ya - s.ya) * (s.xb - s.xa) - (e.xa - s.xa) * (s.yb - s.ya)) / nullif((s.yb - s.ya) * (e.xb - e.xa) - (s.xb - s.xa) * (e.yb - e.ya), 0) AS u FROM sg s JOIN edg e USING (aoi_id)),
+ct AS (SELECT DISTINCT aoi_id, hydro_id, ya, xa, yb, xb, t FROM mt WHERE t > 0 AND t < 1 AND u BETWEEN 0 AND 1 UNION SELECT aoi_id, hydro_id, ya, xa, yb, xb, unnest([0, 1]) FROM sg),
+pc AS (SELECT *, lead(t) OVER (PARTITION BY aoi_id, hydro_id, ya, xa, yb, xb ORDER BY t) AS t2 FROM ct),
+md AS (SELECT *, ya + (yb - ya) * (t + t2) / 2 AS my, xa + (xb - xa) * (t + t2) / 2 AS mx, sqrt((yb - ya) * (yb - ya) + (xb - xa) * (xb - xa)) * (t2 - t) AS len FROM pc WHERE t2 IS NOT NULL),
+ins AS (SELECT m.aoi_id, m.hydro_id, m.my, m.mx, m.len FROM md m JOIN edg e ON e.aoi_id = m.aoi_id AND least(e.ya, e.yb) <= m.my AND m.my < greatest(e.ya, e.yb) AND e.xa + (m.my - e.ya) * (e.xb - e.xa) / (e.yb - e.ya) > m.mx GROUP BY ALL HAVING count(*) % 2 = 1),
+sz AS (SELECT aoi_id, abs(sum(xa * yb - xb * ya)) / 2 AS area_m2 FROM edg GROUP BY aoi_id)
+SELECT aoi_id, round(max(area_m2), 6) AS area_m2, round(sum(len), 6) AS l_ref_m FROM sz LEFT JOIN ins USING (aoi_id) GROUP BY aoi_id""")
+def channel_context(spark, d):
+    lines = reach_lines(spark, d).withColumn("part", F.lit(0))
+    return polygons.channel_context(region_rings(spark, d), lines, cell_m=100.0).select("aoi_id", r6("area_m2"), r6("l_ref_m"))
+
+
+@query(f"""WITH {LINES.split(",\nsg AS")[0]}, whole AS (SELECT aoi_id, hydro_id AS part, sqrt((y1 - y0) * (y1 - y0) + (x1 - x0) * (x1 - x0)) + sqrt((y2 - y1) * (y2 - y1) + (x2 - x1) * (x2 - x1)) AS n FROM line),
+w AS (SELECT aoi_id, part, n, unnest(range(0, CAST(ceil(n / 50) AS BIGINT))) AS i FROM whole)
+SELECT aoi_id, format('channel-{{:04d}}', row_number() OVER (PARTITION BY aoi_id ORDER BY part, i)) AS window_id, part, CAST(i * 50.0 AS DOUBLE) AS start_m, round(least((i + 1) * 50.0, n), 6) AS stop_m FROM w""")
+def line_windows(spark, d):
+    out = polygons.line_windows(reach_lines(spark, d).withColumnRenamed("hydro_id", "part"), 50.0, "aoi_id")
+    return out.select("aoi_id", "window_id", "part", r6("start_m"), r6("stop_m"))
+
+
 # Channels -----------------------------------------------------------------------------------------------------------
 
 CHANNEL = (
