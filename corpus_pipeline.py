@@ -1,8 +1,9 @@
 """A corpus pipeline of five stages over `documents`.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and read again as the next
-one's docs. All but the last return the columns of documents; n_chars follows the text. Rows that repeat an id share
-the decision on it; null texts stay null until they are packed, as empty ones. An empty table gives an empty table.
+one's docs. All but the last return the columns of documents; n_chars follows the text. The first stage rejects null texts
+and those without a letter, as they have no language; the others keep a null text, which is packed as an empty one. Rows
+that repeat an id share the decision on it. An empty table gives an empty table.
 """
 
 from __future__ import annotations

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.components import components
-from .common import documents, dropped, fresh, keyed, written
+from .common import documents, dropped, fresh, keyed, whole_ids, written
 from .rolling import distinct, mixed, shingles
 
 #: Links need this many hundredths; words of a shingle.
@@ -342,8 +342,8 @@ def families(entries: DataFrame) -> DataFrame:
 
 
 def groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id for every row."""
-    rows = keyed(df, id_col, text_col)
+    """doc_id, n_shingles, component_id for every row; ids are whole numbers, others are refused."""
+    rows = keyed(whole_ids(df, id_col), id_col, text_col)
     profile, table = profiles(rows)
     each = profile.where("part is null").select("doc_id", "n", "hi", "lo")
     some = rows.where("doc_id is not null")

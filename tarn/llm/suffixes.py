@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents, dropped, keyed, written
+from .common import documents, dropped, keyed, whole_ids, written
 from .rolling import Exact, Prefixes, mixed
 
 #: Bytes of a string; the cover's period, and the positions in it, whose differences are all numbers below the period. Fixed values.
@@ -475,7 +475,8 @@ def with_spans(rows: DataFrame, make: Callable, schema) -> DataFrame:
 
 
 def _keyed(df: DataFrame, id_col: str, text_col: str, *rest: str) -> DataFrame:
-    """doc_id, key, text, rest: key tells texts of one id apart; rest is a struct of these columns."""
+    """doc_id (a whole number; others are refused), key, text, rest: key tells texts of one id apart; rest is a struct of these columns."""
+    df = whole_ids(df, id_col)
     of = F.struct(*[F.col(c) for c in rest]) if rest else F.lit(None).cast("boolean")
     return df.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("key"), F.col(text_col).alias("text"), of.alias("rest"))
 

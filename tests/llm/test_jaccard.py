@@ -1,6 +1,8 @@
 import random
 import re
 
+import pytest
+
 from tarn.llm import jaccard, rolling
 
 
@@ -108,3 +110,8 @@ def test_product_matches_brute_force():
     sets = [np.array(sorted({rng.randrange(3000) if rng.random() < 0.5 else rng.randrange(40) for _ in range(rng.randrange(1, 200))}), np.uint64) for _ in range(90)]
     got = jaccard.overlaps(sets[:60], sets[60:])
     assert got.tolist() == [[len(set(a.tolist()) & set(b.tolist())) for b in sets[60:]] for a in sets[:60]]
+
+
+def test_ids_that_are_no_whole_numbers_are_refused(spark):
+    with pytest.raises(TypeError, match="whole numbers"):
+        jaccard.groups(spark.createDataFrame([("a", "one two three")], "doc_id string, text string"))

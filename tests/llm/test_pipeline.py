@@ -84,3 +84,14 @@ def test_rows_with_repeated_and_null_ids_are_each_redacted(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     got = sorted((tuple(r) for r in corpus_pipeline.without_secrets(spark, df, D).collect()), key=str)
     assert got == sorted([(2, "a [SECRET] b", "en", "s", 12)] * 2 + [(2, "[SECRET]", None, None, 8), (None, "key [SECRET]", "en", "s", 12), (None, None, None, None, None)], key=str)
+
+
+def test_null_texts_and_texts_without_letters_go_in_the_first_stage_only(spark):
+    rows = [(1, None), (2, "12 34 - 56"), (3, "the house of the river and the old road over the hill")] + [(10 + k, f"the house number {k} of the river and the old road over the hill") for k in range(30)]
+    df = spark.createDataFrame([(i, t, "en", None, None) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = {r.doc_id for r in corpus_pipeline.known_language(spark, df, D).collect()}
+    assert kept == {i for i, _ in rows} - {1, 2}
+    some = df.where("doc_id < 4")
+    for _, stage in corpus_pipeline.STAGES[1:-1]:
+        assert sorted((r.doc_id, r.text) for r in stage(spark, some, D).collect()) == [(i, t) for i, t in rows[:3]]
+    assert sorted((r.doc_id, r.length) for r in corpus_pipeline.packed(spark, some.where("doc_id = 1"), D).collect()) == [(1, 1)]

@@ -116,3 +116,8 @@ def test_query(spark):
 @pytest.mark.parametrize("places", [None, [], [64 * 3 + 1, 64 * 50]])
 def test_runs(places):
     assert suffixes.runs(places, 1000) == ([(3, 150)] if places else [])
+
+
+def test_ids_that_are_no_whole_numbers_are_refused(spark):
+    with pytest.raises(TypeError, match="whole numbers"):
+        suffixes.repeats(spark.createDataFrame([("a", "one two three")], "doc_id string, text string"))
