@@ -133,6 +133,10 @@ class Encoder:
     def __call__(self, text: str) -> bytes:
         return next(self.many([text]))
 
+    def forget(self) -> None:
+        """Empties the table, so that a worker that goes on with other tasks holds none."""
+        self.memo, self.older = {}, {}
+
 
 class RankEncoder:
     """The same for a rank file by the `tiktoken` library, which is quicker on words that it never met."""
@@ -214,6 +218,7 @@ def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
                     keep, ids, starts, held = k + 1, [], [], 0
             if ids:
                 yield pa.RecordBatch.from_arrays([keys.slice(keep), pa.array(ids, pa.binary()), pa.array(starts, pa.binary())], ["doc_id", "ids", "starts"])
+        encoder(path).forget()
 
     rows = keyed(df, id_col, text_col)
     return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, ids binary, starts binary")

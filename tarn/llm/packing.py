@@ -68,6 +68,8 @@ def pieces(df: DataFrame, path: str, capacity: int = CAPACITY, end: int = END, k
                         rows, held = [], 0
             if rows:
                 yield send(rows)
+        if path.endswith(".json"):
+            encoder(path).forget()
 
     rows = keyed(df, id_col, text_col)
     return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, piece int, start long, length long, ids_crc32 long" + ", ids binary" * keep_ids)
