@@ -1,12 +1,13 @@
 """Hydrological years and what happens within them: anchors, contraction, reconnection, stability of refuges.
 
-A year Y has its peak in November of Y - 1 to April of Y, and its end of the dry season in July to December of Y; ties go
-to the earlier month. Series are (aoi_id, month, value).
+A year Y has its peak in the wet season that ends in Y (November of Y - 1 to April of Y, if nothing else is said), and its
+end of the dry season in the dry one that follows (July to December of Y); ties go to the earlier month. Seasons may cross
+the turn of the year. Series are (aoi_id, month, value).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -16,17 +17,28 @@ WET, DRY = (11, 4), (7, 12)
 LOW, MEDIUM = 0.25, 0.5
 
 
-def anchors(series: DataFrame, least_wet: int = 2, least_dry: int = 2) -> DataFrame:
-    """aoi_id, hy, peak_month, end_dry_month, peak_value, end_dry_value, confidence: the year's amplitude by the median year's."""
+def _within(m: Column, season: tuple[int, int]) -> Column:
+    first, last = season
+    return m.between(first, last) if first <= last else (m >= first) | (m <= last)
+
+
+def anchors(series: DataFrame, least_wet: int = 2, least_dry: int = 2, wet: tuple[int, int] = WET, dry: tuple[int, int] = DRY, low: float = LOW, medium: float = MEDIUM) -> DataFrame:
+    """aoi_id, hy, peak_month, end_dry_month, peak_value, end_dry_value, confidence: the year's amplitude by the median year's.
+
+    Seasons are first and last months; they may share months, which then count for both, of different years.
+    """
     m, y = F.month("month"), F.year("month")
-    rows = series.where("value is not null").withColumn("hy", F.when(m >= WET[0], y + 1).otherwise(y))
-    wet = rows.where((m >= WET[0]) | (m <= WET[1])).groupBy("aoi_id", "hy").agg(F.count("*").alias("n_wet"), F.min_by("month", F.struct(-F.col("value"), "month")).alias("peak_month"), F.max("value").alias("peak_value"))
-    dry = series.where("value is not null").where(m.between(*DRY)).groupBy("aoi_id", y.alias("hy")).agg(F.count("*").alias("n_dry"), F.min_by("month", F.struct("value", "month")).alias("end_dry_month"), F.min("value").alias("end_dry_value"))
-    both = wet.join(dry, ["aoi_id", "hy"]).where((F.col("n_wet") >= least_wet) & (F.col("n_dry") >= least_dry))
+    rows = series.where("value is not null")
+    ends = F.when(m >= wet[0], y + 1).otherwise(y) if wet[0] > wet[1] else y
+    begins = F.when(m <= dry[1], y - 1).otherwise(y) if dry[0] > dry[1] else y
+    follows = begins if wet[1] < dry[0] else begins - 1
+    wets = rows.where(_within(m, wet)).groupBy("aoi_id", ends.alias("hy")).agg(F.count("*").alias("n_wet"), F.min_by("month", F.struct(-F.col("value"), "month")).alias("peak_month"), F.max("value").alias("peak_value"))
+    dries = rows.where(_within(m, dry)).groupBy("aoi_id", follows.alias("hy")).agg(F.count("*").alias("n_dry"), F.min_by("month", F.struct("value", "month")).alias("end_dry_month"), F.min("value").alias("end_dry_value"))
+    both = wets.join(dries, ["aoi_id", "hy"]).where((F.col("n_wet") >= least_wet) & (F.col("n_dry") >= least_dry))
     amplitude = F.col("peak_value") - F.col("end_dry_value")
     usual = both.groupBy("aoi_id").agg(F.median(amplitude).alias("usual"))
     share = ratio(amplitude, F.col("usual"))
-    return both.join(usual, "aoi_id").select("aoi_id", "hy", "peak_month", "end_dry_month", "peak_value", "end_dry_value", F.when(share < LOW, "low").when(share < MEDIUM, "medium").when(share.isNotNull(), "high").otherwise("low").alias("confidence"))
+    return both.join(usual, "aoi_id").select("aoi_id", "hy", "peak_month", "end_dry_month", "peak_value", "end_dry_value", F.when(share < low, "low").when(share < medium, "medium").when(share.isNotNull(), "high").otherwise("low").alias("confidence"))
 
 
 def _points(series: DataFrame, years: DataFrame) -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ..operators import clustering, composite, connectivity, dynamics, extent, patches, persistence
 from ..session import written
-from ..sources.cubes import KEYS, Cube, InputError, check_crs
+from ..sources.cubes import KEYS, Cube, InputError, check_crs, in_degrees
 from . import metrics, results
 from .config import Config, configured
 from .runs import area_allowed, canonical
@@ -48,6 +48,7 @@ class Report:
     available: frozenset[str]
     made: tuple[str, ...]
     skipped: dict[str, str]
+    warnings: tuple[str, ...] = ()
 
 
 @dataclass(frozen=True)
@@ -59,9 +60,13 @@ class Result:
     fields: dict = field(default_factory=dict)
 
 
-def validate(cube: Cube, config: Config, inputs: Inputs | None = None) -> Report:
-    """Errors of the input, what it makes available, and which metrics follow; one pass over the cells."""
-    inputs, errors = inputs or Inputs(), []
+def validate(cube: Cube, config: Config, inputs: Inputs | None = None, quality: bool = False) -> Report:
+    """Errors of the input, what it makes available, and which metrics follow; one pass over the cells.
+
+    Warnings: metrics that are left out; a cadence of the cube other than the configured one; and, if quality is asked for,
+    which takes more passes, areas with too little coverage, unless the configuration says that gaps were filled.
+    """
+    inputs, errors, warnings = inputs or Inputs(), [], []
     missing = [c for c in (*KEYS, "water", "valid") if c not in cube.cells.columns]
     if missing:
         errors.append(f"missing: {', '.join(missing)}")
@@ -89,7 +94,15 @@ def validate(cube: Cube, config: Config, inputs: Inputs | None = None) -> Report
     if "reconnection_timing" in made and not config["state.enabled"]:
         made.remove("reconnection_timing")
         skipped["reconnection_timing"] = "needs state.connectivity_metric and its threshold"
-    return Report(tuple(errors), frozenset(available), tuple(made), skipped)
+    if skipped:
+        warnings.append(f"left out: {', '.join(sorted(skipped))}")
+    if cube.cadence not in ("unknown", config["temporal.input_cadence"]):
+        warnings.append(f"the cube is {cube.cadence}, the configuration says {config['temporal.input_cadence']}")
+    if quality and not missing:
+        low = extent.baseline(cube.cells, config["validity.min_valid_obs"], config["validity.min_valid_fraction_month"], config["gapfill"]).where("recommend_gapfill").count()
+        if low:
+            warnings.append(f"{low} areas have too few valid observations; fill gaps before, or set gapfill if they are filled")
+    return Report(tuple(errors), frozenset(available), tuple(made), skipped, tuple(warnings))
 
 
 def zone_allowed(metric: str, zone: str | None) -> None:
@@ -112,6 +125,13 @@ def _series(product: DataFrame) -> DataFrame:
     return extent.apsec(product).select("aoi_id", "month", F.col("apsec").alias("value"))
 
 
+def anchors(series: DataFrame, config: Config) -> DataFrame:
+    """Hydrological years of a series by the configuration's seasons and shares."""
+    p = config["hydroyear.parameters"]
+    wet, dry = ((p[f"{s}_start_month"], p[f"{s}_end_month"]) for s in ("wet", "dry"))
+    return dynamics.anchors(series, p["min_wet_months"], p["min_dry_months"], wet, dry, p["low_confidence_ratio"], p["medium_confidence_ratio"])
+
+
 def _made(made: set[str], product: DataFrame, counts: DataFrame | None, config: Config, inputs: Inputs, resolution_m: float) -> list[DataFrame]:
     """The long rows of each group of metrics that is wanted."""
     out: list[DataFrame] = []
@@ -145,7 +165,7 @@ def _made(made: set[str], product: DataFrame, counts: DataFrame | None, config:
         summary = persistence.temporal_summary(product).where(F.col("metric").isin(*made))
         out.append(summary.select("aoi_id", "metric", F.lit("mean").alias("statistic"), "value", F.make_date("year", F.lit(1), F.lit(1)).alias("date")))
     if made & {"extent_contraction", "reconnection_timing", "refuge_spatial_stability"}:
-        years = written(dynamics.anchors(_series(product), config["hydroyear.parameters"]["min_wet_months"], config["hydroyear.parameters"]["min_dry_months"]))
+        years = written(anchors(_series(product), config))
         if "extent_contraction" in made:
             each = [_series(composite.of_counts(counts, mode)).withColumn("composite", F.lit(mode)) for mode in ("max_water", "median")]
             dual = written(each[0].unionByName(each[1]))
@@ -202,7 +222,7 @@ def analyze(cube: Cube, config: Config | dict, inputs: Inputs | None = None, run
     report = validate(cube, config, inputs)
     if report.errors:
         raise InputError("; ".join(report.errors))
-    area_allowed(False, config["spatial.area_method"] == "per_pixel")
+    area_allowed(in_degrees(cube.crs), config["spatial.area_method"] == "per_pixel")
     cells = cube.cells.select(*KEYS, *[F.coalesce(c, F.lit(False)).alias(c) for c in ("water", "valid")])
     counts = None
     if config["temporal.input_cadence"] == "monthly":
@@ -233,7 +253,8 @@ def analyze(cube: Cube, config: Config | dict, inputs: Inputs | None = None, run
         "min_patch_area_m2": config["patches.min_patch_pixels"] * resolution_m**2, "connectivity_rule": config["patches.connectivity_rule"], "node_source": config["channel.node_source"],
         "connected_wet_metric": config["state.connectivity_metric"], "connected_wet_threshold": config["state.connectivity_threshold"],
     }
-    return Result(results.tidy(whole, run_id, config.config_hash, **fields), report, config, run_id, fields | {"monthly_composite": config["temporal.monthly_composite"]})
+    more = {"monthly_composite": config["temporal.monthly_composite"], "validity_policy": config["validity.policy"], "min_valid_obs": config["validity.min_valid_obs"], "area_method": config["spatial.area_method"], "aoi_id": inputs.aoi_id or "all of the cube"}
+    return Result(results.tidy(whole, run_id, config.config_hash, **fields), report, config, run_id, fields | more)
 
 
 def _put(spark: SparkSession, text: str, path: str) -> None:
@@ -244,14 +265,27 @@ def _get(spark: SparkSession, path: str) -> dict:
     return json.loads(spark.read.text(path, wholetext=True).first()["value"])
 
 
+#: Formats of output.formats, the artifact's name of each, and how it is read.
+FORMATS = {"parquet": ("metrics", results.read_parquet), "csv": ("metrics_csv", results.read_csv)}
+
+
 def write_bundle(result: Result, path: str) -> dict:
-    """The rows, the configuration and the manifest below a path that Spark writes; gives the manifest. The rules are checked on what was written, so the plan runs once."""
-    spark = result.rows.sparkSession
-    result.rows.write.partitionBy(*results.PARTS).parquet(f"{path}/metrics")
-    kept = results.read_parquet(spark, f"{path}/metrics")
+    """The rows in each format of the configuration, the configuration and the manifest below a path that Spark writes; gives the manifest. The rules are checked on what was written, so the plan runs once."""
+    spark, formats = result.rows.sparkSession, tuple(result.config["output.formats"])
+    if not formats or set(formats) - set(FORMATS):
+        raise ValueError(f"output.formats takes {', '.join(FORMATS)}")
+    artifacts = {FORMATS[f][0]: FORMATS[f][0] for f in formats}
+    rows = result.rows
+    if "parquet" in formats:
+        rows.write.partitionBy(*results.PARTS).parquet(f"{path}/metrics")
+        rows = results.read_parquet(spark, f"{path}/metrics")
+    if "csv" in formats:
+        results.write_csv(rows if "parquet" in formats else written(rows), f"{path}/metrics_csv")
+    kept = rows if "parquet" in formats else results.read_csv(spark, f"{path}/metrics_csv")
+    n_rows, rows_digest = results.fingerprint(kept)
     manifest = {
         "schema_version": results.BASE["schema_version"], "run_id": result.run_id, "config_hash": result.config.config_hash, "execution_hash": result.config.execution_hash,
-        "metrics": list(result.report.made), "skipped": result.report.skipped, "n_rows": kept.count(), "artifacts": {"metrics": "metrics", "config": "config"}, "spark_version": spark.version, **result.fields,
+        "metrics": list(result.report.made), "skipped": result.report.skipped, "n_rows": n_rows, "rows_digest": rows_digest, "artifacts": artifacts | {"config": "config"}, "spark_version": spark.version, **result.fields,
     }
     _put(spark, canonical(result.config.values), f"{path}/config")
     _put(spark, canonical(manifest), f"{path}/manifest")
@@ -259,13 +293,17 @@ def write_bundle(result: Result, path: str) -> dict:
 
 
 def read_bundle(spark: SparkSession, path: str) -> tuple[DataFrame, dict]:
-    """(rows, manifest) of a bundle whose configuration still has the manifest's hash and whose rows keep the rules and are as many as were written."""
+    """(rows, manifest) of a bundle whose configuration still has the manifest's hash, and whose rows, in each format, keep the rules and are those that were written."""
     manifest = _get(spark, f"{path}/manifest")
     if any(p.startswith("/") or ".." in p.split("/") for p in manifest["artifacts"].values()):
         raise ValueError("artifacts must lie in the bundle")
     if configured(_get(spark, f"{path}/{manifest['artifacts']['config']}")).config_hash != manifest["config_hash"]:
         raise ValueError("the configuration isn't that of the manifest")
-    rows = results.read_parquet(spark, f"{path}/{manifest['artifacts']['metrics']}")
-    if rows.count() != manifest["n_rows"]:
-        raise ValueError("rows are missing")
-    return rows, manifest
+    found = [read(spark, f"{path}/{manifest['artifacts'][name]}") for name, read in FORMATS.values() if name in manifest["artifacts"]]
+    for rows in found:
+        n_rows, rows_digest = results.fingerprint(rows)
+        if n_rows != manifest["n_rows"]:
+            raise ValueError("rows are missing")
+        if rows_digest != manifest["rows_digest"]:
+            raise ValueError("rows aren't those of the manifest")
+    return found[0], manifest

@@ -30,6 +30,37 @@ ZONES, RULES = ("AOI", "channel", "1", "2", "3", "4"), (4, 8)
 PARTS = ("metric_family", "value_type")
 
 
+#: What tells rows of a run apart.
+ROW = ("aoi_id", "zone", "window_id", "date", "hy", "metric", "statistic", "monthly_composite")
+LOW_SUPPORT = ("suppress_value", "emit_flagged_value", "metric_specific")
+
+
+def low_support(rows: DataFrame, behavior: str) -> DataFrame:
+    """Rows whose month has too little coverage, as the configuration's validity.low_support_behavior says: flagged and not reportable, their value taken away or kept. Other rows stay as they are."""
+    if behavior not in LOW_SUPPORT:
+        raise ValueError(f"low support is one of {', '.join(LOW_SUPPORT)}")
+    if behavior == "metric_specific":
+        raise ValueError("no metric has a rule of its own for low support")
+    low = F.coalesce("low_coverage_flag", F.lit(False))
+    value = F.when(~low, F.col("value")) if behavior == "suppress_value" else F.col("value")
+    return rows.withColumns({"value": value, "edge_flag": F.when(low, "low_valid_obs").otherwise(F.col("edge_flag")), "is_reportable": F.col("is_reportable") & ~low}).select(*rows.columns)
+
+
+def fingerprint(rows: DataFrame) -> tuple[int, str]:
+    """Number of rows, and a digest of them in any order: the sum of their hashes."""
+    n, total = rows.agg(F.count("*"), F.coalesce(F.sum(F.xxhash64(*rows.columns).cast("decimal(20,0)")), F.lit(0))).first()
+    return n, f"{int(total) % (1 << 64):016x}"
+
+
+def differences(left: DataFrame, right: DataFrame, tolerance: float = 0.0) -> DataFrame:
+    """What tells rows apart, with n_left, n_right, left, right, difference: rows of two runs that only one has, or whose values differ by more than the tolerance. Null keys are equal; the manifests are `runs.compared` before."""
+    side = lambda rows, a, b: rows.select(*ROW, F.lit(a).alias("l"), F.lit(b).alias("r"), *[F.when(F.lit(x == 1), F.col("value")).alias(c) for c, x in (("left", a), ("right", b))])
+    both = side(left, 1, 0).unionByName(side(right, 0, 1)).groupBy(*ROW)
+    each = both.agg(F.sum("l").alias("n_left"), F.sum("r").alias("n_right"), F.max("left").alias("left"), F.max("right").alias("right")).withColumn("difference", F.col("right") - F.col("left"))
+    same = (F.col("n_left") == F.col("n_right")) & F.coalesce(F.abs("difference") <= tolerance, F.col("left").isNull() & F.col("right").isNull())
+    return each.where(~same)
+
+
 def long_rows(df: DataFrame, metrics: list[str], run_id: str, config_hash: str) -> DataFrame:
     """One row for each metric of each row of a wide table; columns of the schema that df lacks are null, NaN becomes null."""
     names = F.array(*[F.struct(F.lit(m).alias("metric"), F.lit(None).cast("string").alias("statistic"), F.col(m).cast("double").alias("value")) for m in metrics])

@@ -8,8 +8,11 @@ import json
 #: Parts of a configuration that leave the results as they are.
 NOT_SCIENTIFIC = ("run_label", "compute", "output", "gapfill")
 #: Fields that two runs must share: all that are there, and these in any case.
-COMPARED = ("schema_version", "crs", "resolution_m", "monthly_composite", "connectivity_rule", "min_patch_pixels", "aoi_id", "water_threshold", "node_source")
-REQUIRED = ("schema_version", "crs", "resolution_m", "monthly_composite", "connectivity_rule", "min_patch_pixels")
+COMPARED = (
+    "schema_version", "aoi_id", "source", "resolution_m", "crs", "validity_policy", "monthly_composite", "water_threshold", "threshold_method",
+    "min_valid_obs", "min_valid_fraction_month", "area_method", "min_patch_pixels", "connectivity_rule", "node_source",
+)
+REQUIRED = ("schema_version", "aoi_id", "source", "resolution_m", "crs", "validity_policy", "monthly_composite", "min_patch_pixels", "connectivity_rule")
 
 
 def canonical(value: object) -> str:

@@ -488,14 +488,18 @@ def gap_summary(spark, d):
 
 # Hydrological years -------------------------------------------------------------------------------------------------
 
-YEARS = """ser AS (SELECT aoi_id, month, apsec AS value FROM apsec),
-wetw AS (SELECT aoi_id, CASE WHEN month(month) >= 11 THEN year(month) + 1 ELSE year(month) END AS hy, month, value FROM ser WHERE month(month) >= 11 OR month(month) <= 4),
-dryw AS (SELECT aoi_id, year(month) AS hy, month, value FROM ser WHERE month(month) BETWEEN 7 AND 12),
+def years_sql(wet: str = "month(month) >= 11 OR month(month) <= 4", wet_year: str = "CASE WHEN month(month) >= 11 THEN year(month) + 1 ELSE year(month) END", dry: str = "month(month) BETWEEN 7 AND 12", dry_year: str = "year(month)", low: float = 0.25, medium: float = 0.5) -> str:
+    return f"""ser AS (SELECT aoi_id, month, apsec AS value FROM apsec),
+wetw AS (SELECT aoi_id, {wet_year} AS hy, month, value FROM ser WHERE {wet}),
+dryw AS (SELECT aoi_id, {dry_year} AS hy, month, value FROM ser WHERE {dry}),
 pk AS (SELECT aoi_id, hy, count(*) AS n_wet, first(month ORDER BY value DESC, month) AS peak_month, max(value) AS peak_value FROM wetw GROUP BY ALL),
 dr AS (SELECT aoi_id, hy, count(*) AS n_dry, first(month ORDER BY value, month) AS end_dry_month, min(value) AS end_dry_value FROM dryw GROUP BY ALL),
 yb AS (SELECT * FROM pk JOIN dr USING (aoi_id, hy) WHERE n_wet >= 2 AND n_dry >= 2),
 us AS (SELECT aoi_id, median(peak_value - end_dry_value) AS usual FROM yb GROUP BY aoi_id),
-anc AS (SELECT aoi_id, CAST(hy AS INTEGER) AS hy, peak_month, end_dry_month, peak_value, end_dry_value, CASE WHEN (peak_value - end_dry_value) / nullif(usual, 0) < 0.25 THEN 'low' WHEN (peak_value - end_dry_value) / nullif(usual, 0) < 0.5 THEN 'medium' WHEN usual <> 0 THEN 'high' ELSE 'low' END AS confidence FROM yb JOIN us USING (aoi_id))"""
+anc AS (SELECT aoi_id, CAST(hy AS INTEGER) AS hy, peak_month, end_dry_month, peak_value, end_dry_value, CASE WHEN (peak_value - end_dry_value) / nullif(usual, 0) < {low} THEN 'low' WHEN (peak_value - end_dry_value) / nullif(usual, 0) < {medium} THEN 'medium' WHEN usual <> 0 THEN 'high' ELSE 'low' END AS confidence FROM yb JOIN us USING (aoi_id))"""
+
+
+YEARS = years_sql()
 BOTH = (
     product_sql("max_water", "pmax")
     + ",\n"
@@ -798,6 +802,33 @@ def analyze_standard(spark, d):
     return _analyzed(spark, d).rows.select("aoi_id", F.to_date("date").alias("date"), "metric", "statistic", F.round("value", 9).alias("value"), "edge_flag", "low_coverage_flag")
 
 
+#: A wet season of May to September and a dry one that crosses the turn of the year, with shares of their own.
+OTHER = {"wet_start_month": 5, "wet_end_month": 9, "dry_start_month": 11, "dry_end_month": 2, "low_confidence_ratio": 0.4, "medium_confidence_ratio": 0.9}
+OTHER_YEARS = years_sql("month(month) BETWEEN 5 AND 9", "year(month)", "month(month) >= 11 OR month(month) <= 2", "CASE WHEN month(month) >= 11 THEN year(month) ELSE year(month) - 1 END", 0.4, 0.9)
+
+
+@query(f"""WITH {APSEC}, {OTHER_YEARS}, {BOTH}, sl AS (SELECT aoi_id, hy, composite, CASE WHEN count(*) >= 3 THEN round(regr_slope(value, t), 5) END AS slope FROM pts GROUP BY ALL)
+SELECT sl.aoi_id, CAST(sl.hy AS BIGINT) AS hy, composite AS monthly_composite, end_dry_month AS date, confidence AS hy_confidence, slope AS value FROM sl JOIN anc USING (aoi_id, hy)""")
+def analyze_other_seasons(spark, d):
+    run = RUN | {"metric_profiles": ["dynamics"], "hydroyear": {"parameters": OTHER}}
+    rows = engine.analyze(cubes.Cube(obs(spark, d)), run).rows.where("metric = 'extent_contraction'")
+    return rows.select("aoi_id", "hy", "monthly_composite", F.to_date("date").alias("date"), "hy_confidence", F.round("value", 5).alias("value"))
+
+
+@query(f"{ANALYZED} SELECT aoi_id, date, metric, statistic, CASE WHEN low_coverage_flag THEN NULL ELSE value END AS value, CASE WHEN low_coverage_flag THEN 'low_valid_obs' ELSE edge_flag END AS edge_flag, NOT coalesce(low_coverage_flag, false) AS is_reportable FROM tidy")
+def analyze_suppressed(spark, d):
+    rows = results.low_support(_analyzed(spark, d).rows, "suppress_value")
+    return rows.select("aoi_id", F.to_date("date").alias("date"), "metric", "statistic", F.round("value", 9).alias("value"), "edge_flag", "is_reportable")
+
+
+@query(f"""WITH {OBS}, t AS (SELECT aoi_id, month(ts) AS moy, count(DISTINCT ts) AS n FROM obs GROUP BY ALL), p AS (SELECT DISTINCT aoi_id, y, x FROM obs), c AS (SELECT aoi_id, y, x, month(ts) AS moy, count(*) FILTER (WHERE valid) AS v, count(*) FILTER (WHERE water) AS w FROM obs GROUP BY ALL),
+g AS (SELECT p.aoi_id, p.y, p.x, t.moy, t.n, coalesce(c.v, 0) AS v, coalesce(c.w, 0) AS w FROM p JOIN t USING (aoi_id) LEFT JOIN c ON c.aoi_id = p.aoi_id AND c.y = p.y AND c.x = p.x AND c.moy = t.moy),
+k AS (SELECT aoi_id, y, x, sum(v) AS v, sum(n) AS n, avg(w * 1.0 / nullif(v, 0)) AS share, count(*) FILTER (WHERE v * 1.0 / n < 0.7) AS low, count(*) AS m FROM g GROUP BY ALL)
+SELECT aoi_id, round(sum(v) * 1.0 / sum(n), 6) AS valid_fraction, round(avg(CAST(v < 20 AS INTEGER)), 6) AS low_support_share, round(sum(low) * 1.0 / sum(m), 6) AS low_month_share, round(avg(share) * 100, 6) AS mean_occurrence, sum(low) > 0 OR bool_or(v < 20) AS recommend_gapfill FROM k GROUP BY aoi_id""")
+def baseline_quality(spark, d):
+    return extent.baseline(obs(spark, d)).select("aoi_id", *map(r6, ("valid_fraction", "low_support_share", "low_month_share", "mean_occurrence")), "recommend_gapfill")
+
+
 @query("SELECT * FROM (VALUES ('inter_pool_gap', 'needs channel'), ('lpsec', 'needs channel'), ('realised_connectivity', 'needs fixed_nodes, graph'), ('tcf', 'needs fixed_nodes, graph')) AS t(metric, reason)")
 def profile_skips(spark, d):
     report = engine.validate(cubes.Cube(obs(spark, d)), configured(RUN))

@@ -18,6 +18,11 @@ KEYS = ("aoi_id", "ts", "y", "x")
 DRY, WATER, OUTSIDE, UNOBSERVED = 0, 1, 254, 255
 
 
+#: Codes between 4001 and 4999 that are of geocentric systems, and newer ones of degrees. Fixed values.
+GEOCENTRIC = (4328, 4936, 4978)
+GEOGRAPHIC = (5451, 6318, 6668, 6706, 7844, 8999, 9000)
+
+
 class InputError(ValueError):
     """Input that no adapter can read, or that breaks the contract."""
 
@@ -94,9 +99,20 @@ def misaligned(a: DataFrame, b: DataFrame, keys: tuple[str, ...] = KEYS) -> Data
     return each.agg(F.count_if(F.expr("r = 0")).alias("n_left"), F.count_if(F.expr("l = 0")).alias("n_right"))
 
 
-def check_crs(crs: str | None, geographic: tuple[str, ...] = ("EPSG:4326", "EPSG:4283", "EPSG:7844")) -> None:
+def in_degrees(crs: str | None) -> bool:
+    """Whether a reference system is one of degrees, by its code or by what its definition says: the ranges of codes from 4001 to 4999 (other than those of geocentric systems) and OGC's CRS84, or text of a geographic system."""
+    name = (crs or "").strip().upper()
+    if name.startswith(("GEOGCS", "GEOGCRS", "GEODCRS", "GEOGRAPHICCRS")) or "+PROJ=LONGLAT" in name or "+PROJ=LATLONG" in name:
+        return True
+    code = name.rsplit(":", 1)[-1]
+    if name.startswith("EPSG") and code.isdigit():
+        return 4001 <= int(code) <= 4999 and int(code) not in GEOCENTRIC or int(code) in GEOGRAPHIC
+    return code in ("CRS84", "CRS83", "CRS27")
+
+
+def check_crs(crs: str | None) -> None:
     """Degrees are refused; an unknown reference system is allowed."""
-    if crs and crs.upper() in geographic:
+    if in_degrees(crs):
         raise InputError(f"{crs} is in degrees; a projected system is needed")
 
 
