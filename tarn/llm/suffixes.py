@@ -46,7 +46,7 @@ COVER = (1, 2, 3, 6, 15, 17, 35, 43, 60)
 #: What is left of a string behind the last position at which its sampled suffix can start.
 WINDOW = DEPTH - PERIOD + 1
 #: Entries of a block that is sorted in one task; entries of a task that are dealt out at once; bytes of the texts whose places are kept together.
-BLOCK, SEND, SHARD = 1 << 21, 1 << 21, 1 << 23
+BLOCK, SEND, SHARD = 1 << 20, 1 << 21, 1 << 23
 
 _PACKET = ["to", "kind", "ids", "keys", "numbers", "fields"]
 _SCHEMA = "to long, kind int, ids binary, keys binary, numbers binary, fields binary"
