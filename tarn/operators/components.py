@@ -16,6 +16,8 @@ from ..session import written
 
 #: Columns of a raster that share a join key; a run spans few of these tiles.
 TILE = 64
+#: Rows of a raster whose components are ranked together.
+BAND = 64
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -58,8 +60,14 @@ def label(wet: DataFrame, connectivity: int = 8, least_pixels: int = 1) -> DataF
     found = components(touch)
     named = each.join(found, F.col("run") == F.col("node"), "left").withColumn("component", F.coalesce("component", "run")).drop("node", "run")
     size = named.groupBy("component").agg(F.sum(F.col("x1") - F.col("x0") + 1).alias("n_pixels")).where(F.col("n_pixels") >= least_pixels)
-    order = W.partitionBy("component.aoi_id", "component.month").orderBy("component.y", "component.x0")
-    labels = size.withColumn("label", F.row_number().over(order)).drop("n_pixels")
+    # ranks within bands of rows, and prefix sums over the bands, so no window has all components of a month
+    size = size.drop("n_pixels").withColumn("band", F.floor(F.col("component.y") / BAND))
+    inside = W.partitionBy("component.aoi_id", "component.month", "band").orderBy("component.y", "component.x0")
+    earlier = W.partitionBy("aoi_id", "month").orderBy("band").rowsBetween(W.unboundedPreceding, -1)
+    bands = size.groupBy(F.col("component.aoi_id").alias("aoi_id"), F.col("component.month").alias("month"), "band").agg(F.count("*").alias("n"))
+    bands = bands.select(F.struct("aoi_id", "month", "band").alias("at"), F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    ranked = size.withColumn("k", F.row_number().over(inside)).withColumn("at", F.struct("component.aoi_id", "component.month", "band"))
+    labels = ranked.join(bands, "at").select("component", (F.col("before") + F.col("k")).cast("int").alias("label"))
     return named.join(labels, "component").drop("component")
 
 

@@ -20,12 +20,17 @@ class CompositeError(ValueError):
     """A mode or cadence that can't be composed."""
 
 
-def counts(cells: DataFrame) -> DataFrame:
-    """aoi_id, month, y, x, valid_count, water_count, last_wet (of the last valid observation; wet wins among several at one time)."""
+def totals() -> list[Column]:
+    """valid_count, water_count, last_wet of a group of observations."""
     wet = F.col("water") & F.col("valid")
     # the lowest bit, as the sign of a remainder follows that of times before 1970
     last = F.max(F.when(F.col("valid"), F.unix_micros("ts") * 2 + F.col("water").cast("int")))
-    return cells.groupBy("aoi_id", month_start("ts").alias("month"), "y", "x").agg(F.count_if("valid").alias("valid_count"), F.count_if(wet).alias("water_count"), (F.coalesce(last, F.lit(0)).bitwiseAND(1) == 1).alias("last_wet"))
+    return [F.count_if("valid").alias("valid_count"), F.count_if(wet).alias("water_count"), (F.coalesce(last, F.lit(0)).bitwiseAND(1) == 1).alias("last_wet")]
+
+
+def counts(cells: DataFrame) -> DataFrame:
+    """aoi_id, month, y, x, valid_count, water_count, last_wet (of the last valid observation; wet wins among several at one time)."""
+    return cells.groupBy("aoi_id", month_start("ts").alias("month"), "y", "x").agg(*totals())
 
 
 def rule(mode: str) -> Column:

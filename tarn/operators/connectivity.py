@@ -23,9 +23,15 @@ def fixed_graph(reaches: DataFrame, node_month: DataFrame) -> tuple[DataFrame, D
     return nodes, edges
 
 
+def each_month(rows: DataFrame, months: DataFrame) -> DataFrame:
+    """rows, once for each month, with a column month. The months are one row, an array of a few thousand dates at most, that goes to wherever the rows are."""
+    one = months.agg(F.array_sort(F.collect_set("month")).alias("months"))
+    return rows.crossJoin(F.broadcast(one)).withColumn("month", F.explode("months")).drop("months")
+
+
 def edge_gaps(edges: DataFrame, node_month: DataFrame, months: DataFrame) -> DataFrame:
     """month, a, b, gap (dry ends of the edge; null if an end isn't valid) for every edge and month; the network is small beside its months."""
-    grid = months.join(edges, F.lit(True))
+    grid = each_month(edges, months)
     end = lambda side: node_month.select(F.col("month"), F.col("node").alias(side), F.col("active").alias(f"{side}_on"), F.col("valid").alias(f"{side}_ok"))
     rows = grid.join(end("a"), ["month", "a"], "left").join(end("b"), ["month", "b"], "left")
     gap = (~F.col("a_on")).cast("int") + (~F.col("b_on")).cast("int")
@@ -38,11 +44,14 @@ def realised(gaps: DataFrame, nodes: DataFrame, threshold: float = 0.0) -> DataF
     edge = gaps.groupBy("month").agg(F.count("*").alias("n_edges"), F.count_if(active).alias("n_active"))
     node = lambda side: F.struct("month", F.col(side).alias("node"))
     found = components(gaps.where(active).select(node("a").alias("a"), node("b").alias("b")))
-    months = gaps.select("month").distinct()
-    each = months.crossJoin(nodes.select(F.col("hydro_id").alias("id"), "length_m"))  # a row for each reach and month is the table asked for
-    each = each.join(found.select(F.col("node.month").alias("month"), F.col("node.node").alias("id"), F.col("component.node").alias("c")), ["month", "id"], "left")
-    size = each.groupBy("month", F.coalesce("c", "id").alias("c")).agg(F.count("*").alias("k"), F.sum("length_m").alias("l"))
-    by = size.groupBy("month").agg(F.sum(F.col("k") * (F.col("k") - 1)).alias("pairs"), F.sum("k").alias("n"), F.sum(F.col("l") * F.col("l")).alias("l2"), F.sum("l").alias("l"))
+    # reaches without a link are alone: they add nothing to pairs, and their squared lengths are those of all less those of the linked
+    l = F.col("length_m").cast("double")  # noqa: E741
+    whole = nodes.agg(F.count("*").alias("n"), F.sum(l).alias("l"), F.sum(l * l).alias("alone"))  # one row
+    linked = found.select(F.col("node.month").alias("month"), F.col("node.node").alias("hydro_id"), F.col("component.node").alias("c")).join(nodes.select("hydro_id", "length_m"), "hydro_id")
+    size = linked.groupBy("month", "c").agg(F.count("*").alias("k"), F.sum(l).alias("lc"), F.sum(l * l).alias("own"))
+    sums = size.groupBy("month").agg(F.sum(F.col("k") * (F.col("k") - 1)).alias("pairs"), F.sum(F.col("lc") * F.col("lc") - F.col("own")).alias("more"))
+    months = gaps.select("month").distinct().join(sums, "month", "left").crossJoin(F.broadcast(whole))
+    by = months.select("month", F.coalesce("pairs", F.lit(0)).alias("pairs"), "n", "l", (F.col("alone") + F.coalesce("more", F.lit(0.0))).alias("l2"))
     return edge.join(by, "month").select("month", "n_edges", "n_active", (ratio("n_active", "n_edges") * 100).alias("rc_edge"), (ratio(F.col("pairs"), F.col("n") * (F.col("n") - 1)) * 100).alias("rc_pair"), (ratio(F.col("l2"), F.col("l") * F.col("l")) * 100).alias("dci"))
 
 

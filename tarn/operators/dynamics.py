@@ -97,24 +97,7 @@ def first_crossings(series: DataFrame, threshold: float) -> DataFrame:
 
 def gap_fill(cells: DataFrame) -> DataFrame:
     """aoi_id, y, x, ts, value: nulls from the next, second next, last and second last value of the pixel, one after the other, so a filled value can fill the next one; the first looks only ahead and the last only back."""
-    row = F.struct("ts", "value")
-    series = cells.groupBy("aoi_id", "y", "x").agg(F.array_sort(F.collect_list(row)).alias("s"))
-    at = lambda a, k: F.get(a, k)
-    start = F.array().cast("array<int>")
-    raw = F.transform("s", lambda r: r["value"])
-    series = series.withColumn("raw", raw).withColumn("n", F.size("s"))
-    steps = F.sequence(F.lit(0), F.col("n") - 1)
-
-    def step(done, k):
-        ahead = F.when(k < F.col("n") - 1, F.coalesce(at(F.col("raw"), k + 1), at(F.col("raw"), k + 2)))
-        back = F.when(k > 0, F.coalesce(F.when(k >= 1, at(done, k - 1)), F.when(k >= 2, at(done, k - 2))))
-        return F.concat(done, F.array(F.coalesce(at(F.col("raw"), k), ahead, back)))
-
-    filled = series.withColumn("f", F.aggregate(steps, start, step))
-    return filled.select("aoi_id", "y", "x", F.explode(F.arrays_zip("s", "f")).alias("z")).select("aoi_id", "y", "x", F.col("z.s.ts").alias("ts"), F.col("z.f").alias("value"))
-
-
-def latest(series: DataFrame) -> DataFrame:
-    """aoi_id, month, value of the last month of each area."""
-    w = W.partitionBy("aoi_id").orderBy(F.desc("month"))
-    return series.withColumn("k", F.row_number().over(w)).where("k = 1").drop("k")
+    # a gap that nothing lies ahead of takes what its forerunner took, so the last known value reaches along all of it
+    w = W.partitionBy("aoi_id", "y", "x").orderBy("ts", "value")
+    before = F.last("value", ignorenulls=True).over(w.rowsBetween(W.unboundedPreceding, -1))
+    return cells.select("aoi_id", "y", "x", "ts", F.coalesce("value", F.lead("value", 1).over(w), F.lead("value", 2).over(w), before).alias("value"))

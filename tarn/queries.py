@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 
 from .functions import month_start
 from .operators import clustering, composite, connectivity, dynamics, extent, legacy, patches, persistence, polygons, skeletons, spatial
-from .plans import engine, results
+from .plans import engine, results, store
 from .plans.config import configured
 from .plans.metrics import METRICS as METRIC_SPECS
 from .session import shared_dir, written
-from .sources import cubes
+from .sources import cubes, surfaces
+from .streaming import composites
 
 CELL_M2, THRESHOLD_M = 900.0, 10.0
 QUERIES: dict = {}
@@ -466,7 +467,7 @@ def channel_profile(spark, d: str) -> DataFrame:
     segments = cubes.table(spark, d, "supplier").select(F.col("s_suppkey").alias("seg_ix"), (1 + F.col("s_suppkey") % 7).cast("double").alias("length_m"))
     wet = rows.groupBy("month", "seg_ix").agg(F.bool_or("wet").alias("wet"))
     months = wet.select("month").distinct()
-    return months.join(segments, F.lit(True)).join(wet, ["month", "seg_ix"], "left").select("month", "seg_ix", F.coalesce("wet", F.lit(False)).alias("wet"), "length_m")
+    return connectivity.each_month(segments, months).join(wet, ["month", "seg_ix"], "left").select("month", "seg_ix", F.coalesce("wet", F.lit(False)).alias("wet"), "length_m")
 
 
 @query(f"WITH {CHANNEL} SELECT month, round(sum(CASE WHEN wet THEN length_m ELSE 0 END), 6) AS wetted_m, round(sum(CASE WHEN wet THEN length_m ELSE 0 END) * 100 / (SELECT sum(length_m) FROM seg), 6) AS lpsec FROM prof GROUP BY month")
@@ -712,6 +713,37 @@ def reach_wet_any_month(spark, d):
     return spatial.reach_wet_any_month(product(spark, d), n)
 
 
+# Sinks, stores and streams ------------------------------------------------------------------------------------------
+
+
+@query(f"WITH {STRATIFIED} SELECT aoi_id, CAST(y AS BIGINT) AS y, CAST(x AS BIGINT) AS x, round(occurrence, 6) AS value FROM surf WHERE occurrence IS NOT NULL AND y BETWEEN 2 AND 5 AND x BETWEEN 1 AND 6")
+def surface_box(spark, d):
+    path = shared_dir(spark)
+    surface = persistence.refuge_mask(persistence.occurrence(product(spark, d)), 0.5)
+    surfaces.write(surface, ["occurrence", "valid_count", "refuge"], path, tile=4)
+    return surfaces.read_box(spark, path, "occurrence", 2, 1, 5, 6, tile=4).select("aoi_id", "y", "x", r6("value"))
+
+
+@query(f"WITH {COUNTS}, {product_sql('mode')} SELECT * FROM prod")
+def stored_months(spark, d):
+    """A first run keeps the months before 1995, a second one adds those after."""
+    cells, path = obs(spark, d), shared_dir(spark)
+    store.MonthlyStore(spark, path, "orders").append(cells.where("ts < '1995-01-01'"))
+    return store.MonthlyStore(spark, path, "orders").append(cells).select("aoi_id", "month", "y", "x", "water", "valid", "valid_count", "water_count")
+
+
+@query(f"WITH {COUNTS}, {product_sql('end_of_month_nearest')} SELECT * FROM prod")
+def streamed_months(spark, d):
+    """The observations as a stream; one that comes a year later ends the last month."""
+    source, out, kept = (shared_dir(spark) for _ in range(3))
+    cells = obs(spark, d)
+    end = cells.agg((F.max("ts") + F.expr("interval 366 days")).alias("ts")).select(F.lit("end").alias("aoi_id"), "ts", F.lit(0).alias("y"), F.lit(0).alias("x"), F.lit(False).alias("water"), F.lit(False).alias("valid"))
+    cells.unionByName(end).write.parquet(source)
+    stream = composites.monthly(spark.readStream.schema(cells.schema).parquet(source), "end_of_month_nearest")
+    stream.writeStream.format("parquet").option("checkpointLocation", kept).trigger(availableNow=True).start(out).awaitTermination()
+    return spark.read.schema(stream.schema).parquet(out)
+
+
 # Earlier metrics ----------------------------------------------------------------------------------------------------
 
 
@@ -740,7 +772,8 @@ def legacy_wide_pivot(spark, d):
     return legacy.wide(long, ["apsec", "valid_fraction"]).select("month", "aoi_id", r6("apsec"), r6("valid_fraction"))
 
 
-@query()
+@query(f"""WITH {MONTHLY}, {DENSE}, v AS (SELECT aoi_id, y, x, month, CASE WHEN valid THEN CAST(water AS INTEGER) END AS value FROM dense)
+SELECT aoi_id, y, x, month AS ts, coalesce(value, lead(value, 1) OVER w, lead(value, 2) OVER w, last_value(value IGNORE NULLS) OVER (PARTITION BY aoi_id, y, x ORDER BY month ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) AS value FROM v WINDOW w AS (PARTITION BY aoi_id, y, x ORDER BY month)""")
 def legacy_gap_fill(spark, d):
     p = composite.dense(product(spark, d))
     cells = p.select("aoi_id", "y", "x", F.col("month").alias("ts"), F.when(F.col("valid"), F.col("water").cast("int")).alias("value"))
