@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 
 from ..functions import ratio
 from ..session import dropped, written
+from .components import by_key
 from .patches import depth_field
 
 AREA = ("aoi_id", "month")
@@ -75,25 +76,6 @@ def thin(mask: np.ndarray, steps: int | None = None) -> tuple[np.ndarray, np.nda
     return flat.reshape(height, width)[1:-1, 1:-1].astype(bool), last.reshape(height, width)[1:-1, 1:-1]
 
 
-def _by_key(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...]) -> Iterator[pa.Table]:
-    """The rows of each key of batches that are sorted by it."""
-    held: list[pa.RecordBatch] = []
-    last = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        named = list(zip(*(batch.column(k).to_pylist() for k in keys), strict=True))
-        cuts = [k for k in range(1, len(named)) if named[k] != named[k - 1]]
-        for begin, end in zip([0, *cuts], [*cuts, len(named)], strict=True):
-            if held and named[begin] != last:
-                yield pa.Table.from_batches(held)
-                held = []
-            held.append(batch.slice(begin, end - begin))
-            last = named[begin]
-    if held:
-        yield pa.Table.from_batches(held)
-
-
 _TILE_KEY = (*AREA, "ty", "tx")
 
 
@@ -141,7 +123,7 @@ def skeleton(labelled: DataFrame, tile: int = TILE, rim: int = RIM) -> DataFrame
         return pa.RecordBatch.from_arrays([*keys, *map(pa.array, zip(*rows, strict=True), kinds)], [*AREA, *names])
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _by_key(batches, _TILE_KEY):
+        for table in by_key(batches, _TILE_KEY):
             ty, tx = table.column("ty")[0].as_py(), table.column("tx")[0].as_py()
             y, a, b = (table.column(c).to_numpy() for c in ("y", "x0", "x1"))
             a, b = np.maximum(a, tx * tile - rim), np.minimum(b, (tx + 1) * tile + rim - 1)
@@ -152,7 +134,7 @@ def skeleton(labelled: DataFrame, tile: int = TILE, rim: int = RIM) -> DataFrame
             yield out(table, _advance(window, y0, x0, ty, tx, tile, rim, True))
 
     def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _by_key(batches, _TILE_KEY):
+        for table in by_key(batches, _TILE_KEY):
             pieces = [p for p in table.to_pylist() if p["h"] and p["w"]]
             if not any(p["own"] for p in pieces):
                 continue
@@ -239,7 +221,7 @@ def hops(cells: DataFrame, seeds: DataFrame, tile: int = TILE) -> DataFrame:
     kinds = T.StructType([*[cells.schema[c] for c in AREA], *[T.StructField(n, T.LongType()) for n in ("y", "x", "d")]])
 
     def leaving(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _by_key(batches, _TILE_KEY):
+        for table in by_key(batches, _TILE_KEY):
             ty, tx = table.column("ty")[0].as_py(), table.column("tx")[0].as_py()
             out: dict[tuple[int, int], int] = {}
             for (a, b), steps in _settled(table).items():
@@ -252,7 +234,7 @@ def hops(cells: DataFrame, seeds: DataFrame, tile: int = TILE) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*_repeated(table, len(out)), *[pa.array(c, pa.int64()) for c in zip(*[(a, b, d) for (a, b), d in out.items()], strict=True)]], kinds.names)
 
     def inside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _by_key(batches, _TILE_KEY):
+        for table in by_key(batches, _TILE_KEY):
             done = _settled(table)
             if done:
                 yield pa.RecordBatch.from_arrays([*_repeated(table, len(done)), *[pa.array(c, pa.int64()) for c in zip(*[(a, b, d) for (a, b), d in done.items()], strict=True)]], kinds.names)
@@ -282,7 +264,7 @@ def _walked(pointers: DataFrame, ends: DataFrame, tile: int) -> DataFrame:
     kinds = T.StructType([*[pointers.schema[c] for c in AREA], T.StructField("y", T.LongType()), T.StructField("x", T.LongType()), T.StructField("leaves", T.BooleanType())])
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _by_key(batches, _TILE_KEY):
+        for table in by_key(batches, _TILE_KEY):
             rows = list(zip(*(table.column(c).to_pylist() for c in ("y", "x", "py", "px", "enters")), strict=True))
             to = {(y, x): (py, px) for y, x, py, px, enters in rows if not enters}
             met: dict[tuple[int, int], bool] = {}

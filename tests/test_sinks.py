@@ -102,13 +102,14 @@ def test_streamed_months_equal_the_batch(spark, tmp_path, mode):
     assert plain(run().where("aoi_id = 'a'")) == plain(composite.monthly(spark.createDataFrame(rows, KIND), mode))
 
 
-@pytest.mark.parametrize("connectivity", [4, 8])
-def test_labels_match_a_flood_fill(spark, connectivity, monkeypatch):
+@pytest.mark.parametrize(("connectivity", "side"), [(4, 16), (8, 16), (8, 512)])
+def test_labels_match_a_flood_fill(spark, connectivity, side, monkeypatch):
     monkeypatch.setattr(components, "BAND", 16)
+    monkeypatch.setattr(components, "SIDE", side)
     rng = random.Random(6)
     rows, want = [], {}
     for area in ("a", "b"):
-        wet = {(y, x) for y in range(-20, 60) for x in range(-70, 140) if rng.random() < 0.45} | {(y, 5) for y in range(-20, 60)}
+        wet = {(y, x) for y in range(-20, 60) for x in range(-70, 140) if rng.random() < 0.45} | {(y, 5) for y in range(-20, 60)} | {(y, x) for y in (-3, 20, 33) for x in range(-60, 130)}
         wet |= {(70, 1), (71, 2)}
         rows += [(area, date(2020, 1, 1), y, x) for y, x in wet]
         near = [(a, b) for a in (-1, 0, 1) for b in (-1, 0, 1) if (a, b) != (0, 0) and (connectivity == 8 or a * b == 0)]
