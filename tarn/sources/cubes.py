@@ -18,6 +18,8 @@ KEYS = ("aoi_id", "ts", "y", "x")
 DRY, WATER, OUTSIDE, UNOBSERVED = 0, 1, 254, 255
 
 
+#: Names of layers that adapters know.
+KNOWN = ("water", "water_mask", "raw", "frequency")
 #: Codes between 4001 and 4999 that are of geocentric systems, and newer ones of degrees. Fixed values.
 GEOCENTRIC = (4328, 4936, 4978)
 GEOGRAPHIC = (5451, 6318, 6668, 6706, 7844, 8999, 9000)
@@ -125,7 +127,7 @@ def cadence(cells: DataFrame) -> DataFrame:
 
 
 def normalized(raw: DataFrame, variables: dict[str, str] | None = None) -> tuple[DataFrame, tuple[str, ...]]:
-    """Renamed columns and booleans for 0 and 1, and a log of these fixes in order."""
+    """Renamed columns, a boolean for a valid layer of numbers (other than 0), and a log of these fixes in order. A sole layer of any name is taken as water."""
     fixes = []
     for old, new in (variables or {}).items():
         if old in raw.columns and old != new:
@@ -134,17 +136,33 @@ def normalized(raw: DataFrame, variables: dict[str, str] | None = None) -> tuple
     missing = [k for k in KEYS if k not in raw.columns]
     if missing:
         raise InputError(f"missing: {', '.join(missing)}")
+    layers = [c for c in raw.columns if c not in (*KEYS, "valid")]
+    if len(layers) == 1 and layers[0] not in KNOWN:
+        raw = raw.withColumnRenamed(layers[0], "water")
+        fixes.append(f"took {layers[0]} as water")
+    if "valid" in raw.columns and raw.schema["valid"].dataType.typeName() != "boolean":
+        raw = raw.withColumn("valid", F.col("valid") != 0)
+        fixes.append("made valid a boolean")
     return raw, tuple(fixes)
 
 
-def open_cube(raw: DataFrame, kind: str | None = None, crs: str | None = None, variables: dict[str, str] | None = None, **options) -> Cube:
-    """A cube of any of the encodings, its kind detected if none is given."""
+def open_cube(raw: DataFrame, kind: str | None = None, crs: str | None = None, variables: dict[str, str] | None = None, cadence_of: str = "unknown", **options) -> Cube:
+    """A cube of any of the encodings, its kind detected if none is given; cadence_of: monthly, submonthly, unknown, or detect, which looks at the times and gives mixed where areas differ."""
     check_crs(crs)
     raw, fixes = normalized(raw, variables)
     kind = kind or detect_adapter(raw)
     if kind not in ADAPTERS:
         raise InputError(f"no adapter is called {kind}")
-    return Cube(ADAPTERS[kind](raw, **options), source=kind, crs=crs, fixes=fixes)
+    column = {"watermask_tsfill": "water_mask", "raw_wofs": "frequency", "generic_probability": "water"}.get(kind, "water")
+    if "column" not in options and column in raw.columns:
+        options["column"] = column
+    if kind == "generic_binary" and "valid" in raw.columns:
+        options.setdefault("valid", "valid")
+    cells = ADAPTERS[kind](raw, **options)
+    if cadence_of == "detect":
+        found = [r["cadence"] for r in cadence(cells).select("cadence").distinct().limit(2).collect()]
+        cadence_of = found[0] if len(found) == 1 else "mixed" if found else "unknown"
+    return Cube(cells, source=kind, cadence=cadence_of, crs=crs, fixes=fixes)
 
 
 def fill_recent(cells: DataFrame, value: str, limit: int = 2) -> DataFrame:
