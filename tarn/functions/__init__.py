@@ -24,10 +24,6 @@ def month_start(ts: str | Column) -> Column:
     return F.trunc(col(ts).cast("date"), "month")
 
 
-def both(a: str | Column, b: str | Column) -> Column:
-    return col(a) & col(b)
-
-
 def cv(value: str | Column) -> Column:
     """Population standard deviation by mean; null for fewer than two values or a zero mean."""
     return F.when(F.count(col(value)) > 1, F.try_divide(F.stddev_pop(col(value)), F.avg(col(value))))
