@@ -5,13 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .persistence import DIGITS
+
 PERSIST, SEASON, LEAST_VALID = 0.50, 0.10, 20
 
 
 def zones(surface: DataFrame, drainage: DataFrame | None = None, persist: float = PERSIST, season: float = SEASON, least_valid: int = LEAST_VALID) -> DataFrame:
-    """aoi_id, y, x, zone of a surface (aoi_id, y, x, fraction, valid_count, ever_wet): 4 rare, 3 seasonal, 2 persistent, 0 unknown; 1 for pixels of the drainage (aoi_id, y, x) and for persistent ones that touch it, corners included."""
+    """aoi_id, y, x, zone of a surface (aoi_id, y, x, fraction, valid_count, ever_wet): 4 rare, 3 seasonal, 2 persistent, 0 unknown; 1 for pixels of the drainage (aoi_id, y, x) and for persistent ones that touch it, corners included. Thresholds look at nine digits of the fraction."""
+    share = F.round("fraction", DIGITS)
     known = F.col("ever_wet") & F.col("fraction").isNotNull() & (F.col("valid_count") >= least_valid)
-    base = F.when(~known, 0).when(F.col("fraction") < season, 4).when(F.col("fraction") <= persist, 3).otherwise(2)
+    base = F.when(~known, 0).when(share < season, 4).when(share <= persist, 3).otherwise(2)
     out = surface.withColumn("zone", base)
     if drainage is None:
         return out.select("aoi_id", "y", "x", "zone")

@@ -5,7 +5,7 @@ from datetime import date
 
 import numpy as np
 
-from tarn.operators import dynamics, patches, persistence
+from tarn.operators import dynamics, patches, persistence, spatial
 
 
 def test_depths_of_columns():
@@ -81,6 +81,15 @@ def test_refuge_at_the_threshold(spark):
     assert [r.refuge for r in persistence.refuge_mask(surface, 0.5).orderBy("x").collect()] == [True, False, True, False]
 
 
+def test_zones_at_the_thresholds(spark):
+    """What a mean's order of summing adds or takes moves no pixel over a threshold; a real difference does."""
+    shares = [0.1 - 1e-16, 0.1, 0.0999, 0.5, 0.5 + 1e-15, 0.5001, None]
+    surface = spark.createDataFrame([("a", 0, k, v, 20, True) for k, v in enumerate(shares)], "aoi_id string, y int, x int, fraction double, valid_count long, ever_wet boolean")
+    assert [r.zone for r in spatial.zones(surface).orderBy("x").collect()] == [3, 3, 4, 3, 3, 2, 0]
+    drainage = spark.createDataFrame([("a", 1, k) for k in range(7)], "aoi_id string, y int, x int")
+    assert [r.zone for r in spatial.zones(surface, drainage).orderBy("x").collect()] == [3, 3, 4, 3, 3, 1, 0]
+
+
 def test_last_valid_before_and_after_1970(spark):
     from datetime import datetime
 
