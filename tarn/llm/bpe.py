@@ -91,6 +91,9 @@ class Encoder:
             self.tokenizer = Tokenizer.from_file(path)
         else:
             self.tokenizer = from_ranks(path)
+        #: How the model's vocabulary writes each byte, and each id's 4 bytes.
+        self.shown = {chr(b): c for b, c in byte_chars().items() if chr(b) != c}
+        self.four = [n.to_bytes(4, "little") for n in range(self.tokenizer.get_vocab_size())]
         #: Added tokens of the vocabulary, which the library finds in texts wherever they stand.
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.memo: dict[str, bytes] = {}
@@ -99,15 +102,26 @@ class Encoder:
     def library(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def model(self, words: list[str]) -> list[bytes]:
+        """The same for words as the pattern splits them, without splitting again: no added token stands in them."""
+        if not words:
+            return []
+        # no text has the byte FF, so it parts the words while all are written anew at once
+        raw = b"\xff".join(map(str.encode, words)).decode("latin-1")
+        for b in set(raw).intersection(self.shown):
+            raw = raw.replace(b, self.shown[b])
+        tokens, four = self.tokenizer.model.tokenize, self.four
+        return [b"".join([four[t.id] for t in tokens(word)]) for word in raw.split("\xff")]
+
     def _learn(self, words: set[str]) -> None:
-        """Has all these words in the table: from what it held before, else by one call of the library."""
+        """Has all these words in the table: from what it held before, else by the library's model."""
         if len(self.memo) > MEMO:
             self.memo, self.older = {}, self.memo
         new = words.difference(self.memo)
         for word in new.intersection(self.older):
             self.memo[word] = self.older[word]
         rest = list(new.difference(self.memo))
-        self.memo.update(zip(rest, self.library(rest), strict=True))
+        self.memo.update(zip(rest, self.model(rest), strict=True))
 
     def _split(self, text: str) -> list[list[str] | str]:
         """Each part's words, or the part itself where only the library knows them."""

@@ -38,6 +38,18 @@ def test_long_texts_are_cut_without_effect(plain, monkeypatch):
     assert np.frombuffer(bpe.encoder(MULTI)(text), "<u4").tolist() == plain.encode_ordinary(text)
 
 
+def test_new_words_are_merged_alike_without_being_split_again(monkeypatch):
+    """The model by itself gives the words of plain texts the ids that the whole library does."""
+    import random
+
+    path, rng = public_tokenizers.path("byte_bpe_50k.json"), random.Random(8)
+    chars = [chr(c) for c in range(0x250) if bpe._PLAIN.fullmatch(chr(c))] + list("–—‘’“”•…€") + [" "] * 60 + list("etaoin") * 9
+    texts = ["".join(rng.choices(chars, k=rng.randint(0, 60))) for _ in range(4000)] + ["", " ", "It's  we'll 'see' ÿ þÿ", "\x00\x01 a"]
+    want = bpe.Encoder(path).library(texts)
+    monkeypatch.setattr(bpe.Encoder, "library", None)
+    assert list(bpe.Encoder(path).many(texts)) == want
+
+
 def test_byte_table_is_one_to_one():
     table = bpe.byte_chars()
     assert len(table) == 256 and len(set(table.values())) == 256 and table[ord("A")] == "A" and table[ord(" ")] == "Ġ"
