@@ -1,8 +1,10 @@
 """Byte-level BPE encoding and decoding (operator 2), and the encoder that operators 5 and 6 share.
 
-The `tokenizers` library merges; Spark partitions the rows and streams them to it as Arrow batches. A word's ids depend
-on nothing but the word, so each Python worker keeps a bounded table of words it has met and hands only new ones to the
-library. Texts with letters outside Latin, or with rare separators, go to the library whole.
+Spark partitions the rows and streams them to the libraries as Arrow batches. For rank files `tiktoken` merges, and keeps
+no table; only parts with very long runs of white space, which its pattern can't take, go to `tokenizers`, with the same
+ids. For .json files `tokenizers` merges: a word's ids depend on nothing but the word, so each Python worker keeps a
+bounded table of words it has met and hands only new ones to the library's model. Texts with letters outside Latin, or
+with rare separators, go to the library whole.
 
 Defined results: null text counts as empty and has no ids; decoding null gives no bytes; repeated rows are encoded
 alike, each for itself; columns other than the id and the text are left out; an empty table gives an empty table.
@@ -38,6 +40,8 @@ _LETTER = "A-Za-zÀ-ÖØ-öø-ɏ"
 _PLAIN = re.compile(rf"[\x00-\x1b\x21-\x7e \x7f{_LETTER}¡-©«¬®-±¶-¸»¿×÷–—‘-„•…€]*")
 #: The vocabularies' own split pattern, for those characters.
 _WORDS = re.compile(rf"'(?:s|t|re|ve|m|ll|d)| ?[{_LETTER}]+| ?[0-9]+| ?[^\s{_LETTER}0-9]+|\s+(?!\S)|\s+")
+#: Runs of white space in which the pattern steps back too far for `tiktoken`; it takes ten times as many.
+_RUN = re.compile(r"\s{20000}")
 _CUT = re.compile(r"(?<=[A-Za-z])(?= [A-Za-z])")
 
 
@@ -158,10 +162,17 @@ class RankEncoder:
     def __init__(self, path: str):
         import tiktoken
 
+        self.path = path
         self.encoding = tiktoken.Encoding("ranked", pat_str=_pattern(), mergeable_ranks=read_ranks(path), special_tokens={})
 
     def __call__(self, text: str) -> bytes:
-        return b"".join(array("I", self.encoding.encode_ordinary(part)).tobytes() for part in parts(text))
+        return b"".join(encoder(self.path).library([part])[0] if _RUN.search(part) else array("I", self.encoding.encode_ordinary(part)).tobytes() for part in parts(text))
+
+    def many(self, texts: Iterable[str]) -> Iterator[bytes]:
+        return map(self, texts)
+
+    def forget(self) -> None:
+        """It keeps no table."""
 
 
 def parts(text: str) -> list[str]:
@@ -186,6 +197,11 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
+def of_file(path: str) -> Encoder | RankEncoder:
+    """The encoder of a vocabulary file; a rank file has no added tokens, so only a .json needs its own library."""
+    return encoder(path) if path.endswith(".json") else rank_encoder(path)
+
+
 @functools.cache
 def token_bytes(path: str) -> list[bytes]:
     """Each id's bytes; ids that the vocabulary lacks have none."""
@@ -218,12 +234,12 @@ def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        many = encoder(path).many
+        encode = of_file(path)
         for batch in batches:
             keep, ids, starts, held = 0, [], [], 0
             keys = batch.column(0)
             texts = batch.column(1).to_pylist()
-            for k, (text, made) in enumerate(zip(texts, many(texts), strict=True)):
+            for k, (text, made) in enumerate(zip(texts, encode.many(texts), strict=True)):
                 ids.append(made)
                 starts.append(token_starts(np.frombuffer(made, "<u4"), text.encode(), path).tobytes())
                 held += 2 * len(made)
@@ -232,7 +248,7 @@ def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
                     keep, ids, starts, held = k + 1, [], [], 0
             if ids:
                 yield pa.RecordBatch.from_arrays([keys.slice(keep), pa.array(ids, pa.binary()), pa.array(starts, pa.binary())], ["doc_id", "ids", "starts"])
-        encoder(path).forget()
+        encode.forget()
 
     rows = keyed(df, id_col, text_col)
     return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, ids binary, starts binary")

@@ -14,7 +14,6 @@ table gives an empty table.
 
 from __future__ import annotations
 
-import functools
 import zlib
 from collections.abc import Iterator
 
@@ -24,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bpe import encoder, rank_encoder
+from .bpe import of_file
 from .common import documents, keyed, written
 
 #: Pieces that are packed together, about.
@@ -44,8 +43,7 @@ def pieces(df: DataFrame, path: str, capacity: int = CAPACITY, end: int = END, k
     """doc_id, piece, start, length, ids_crc32 and, if asked for, ids (binary) of each document's pieces; path: a vocabulary file, .json or of ranks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # a rank file has no added tokens, so only a .json needs its own library
-        many = encoder(path).many if path.endswith(".json") else functools.partial(map, rank_encoder(path))
+        encode = of_file(path)
         stop = np.array([end], "<u4").tobytes()
         for batch in batches:
             keys = batch.column(0)
@@ -57,7 +55,7 @@ def pieces(df: DataFrame, path: str, capacity: int = CAPACITY, end: int = END, k
                 kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), *[pa.binary()] * keep_ids]
                 return pa.RecordBatch.from_arrays([keys.take(pa.array(at, pa.int64())), *map(pa.array, rest, kinds)], ["doc_id", "piece", "start", "length", "ids_crc32", *["ids"] * keep_ids])
 
-            for k, made in enumerate(many(batch.column(1).to_pylist())):
+            for k, made in enumerate(encode.many(batch.column(1).to_pylist())):
                 ids = memoryview(made + stop)
                 for piece, (start, length) in enumerate(cut(len(ids) // 4, capacity)):
                     part = ids[4 * start : 4 * (start + length)]
@@ -68,8 +66,7 @@ def pieces(df: DataFrame, path: str, capacity: int = CAPACITY, end: int = END, k
                         rows, held = [], 0
             if rows:
                 yield send(rows)
-        if path.endswith(".json"):
-            encoder(path).forget()
+        encode.forget()
 
     rows = keyed(df, id_col, text_col)
     return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, piece int, start long, length long, ids_crc32 long" + ", ids binary" * keep_ids)

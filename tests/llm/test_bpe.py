@@ -38,6 +38,18 @@ def test_long_texts_are_cut_without_effect(plain, monkeypatch):
     assert np.frombuffer(bpe.encoder(MULTI)(text), "<u4").tolist() == plain.encode_ordinary(text)
 
 
+def test_rank_files_need_no_table_of_words(spark, plain, monkeypatch):
+    """Rows are encoded by the library that holds nothing, but for runs of white space that it can't take."""
+    monkeypatch.setattr(bpe.Encoder, "many", None)
+    texts = [" " * 1_000_000 + "a b", "x\n" + "\n" * 900_000, "many new words " + " ".join(map(hex, range(9000)))]
+    bpe.rank_encoder.cache_clear()
+    made = list(bpe.of_file(MULTI).many(texts))
+    assert np.frombuffer(made[2], "<u4").tolist() == plain.encode_ordinary(texts[2])
+    assert b"".join(map(bpe.token_bytes(MULTI).__getitem__, np.frombuffer(made[0], "<u4").tolist())).decode() == texts[0]
+    run = " " * 30_000 + "a b\n" + "\n" * 30_000  # both libraries take this one
+    assert np.frombuffer(bpe.rank_encoder(MULTI)(run), "<u4").tolist() == plain.encode_ordinary(run)
+
+
 def test_new_words_are_merged_alike_without_being_split_again(monkeypatch):
     """The model by itself gives the words of plain texts the ids that the whole library does."""
     import random
