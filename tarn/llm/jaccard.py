@@ -98,7 +98,8 @@ def profiles(rows: DataFrame) -> tuple[DataFrame, np.ndarray]:
     both = written(rows.mapInArrow(run, f"doc_id {kind}, n long, hi long, lo long, part int, counts binary"))
     table = np.zeros((1 << (TABLE_BITS - PART_BITS), 1 << PART_BITS), np.uint32)
     summed = both.where("part is not null").select("part", "counts").repartition("part").mapInArrow(add, "part int, counts binary")
-    for r in summed.toLocalIterator():  # 4 bytes by 2**TABLE_BITS in all
+    # 4 bytes by 2**TABLE_BITS in all; toLocalIterator would read a shuffle that goes as soon as the iterator is made (see written)
+    for r in summed.collect():
         table[r["part"]] = np.frombuffer(r["counts"], np.uint32)
     return both, table.ravel()
 

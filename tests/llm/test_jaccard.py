@@ -115,3 +115,15 @@ def test_product_matches_brute_force():
 def test_ids_that_are_no_whole_numbers_are_refused(spark):
     with pytest.raises(TypeError, match="whole numbers"):
         jaccard.groups(spark.createDataFrame([("a", "one two three")], "doc_id string, text string"))
+
+
+def test_counts_are_read_while_their_shuffle_is_there(spark, monkeypatch):
+    """Shuffles go when a query's execution ends (see written); that of an iterator ends before its first row is read."""
+
+    def lazily(self, *_, **__):
+        raise AssertionError("rows would be read from a shuffle that has gone")
+
+    monkeypatch.setattr(type(spark.range(0)), "toLocalIterator", lazily)
+    rows = spark.createDataFrame([(k, f"some words of text {k} " * 9) for k in range(300)], "doc_id long, text string").repartition(7)
+    profile, table = jaccard.profiles(rows)
+    assert table.sum() == profile.agg({"n": "sum"}).first()[0] > 0
